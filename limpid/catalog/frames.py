@@ -2,7 +2,7 @@
 
 Every order gives four lines with the faults real files have: mixed year
 spellings, decimal commas, blank and malformed fields, repeated keys, short and
-long lines. Their number grows with the table. Lines, ingested and cleaned records
+long lines. Their number grows with the table. Lines, parsed and cleaned records
 and the score history are each written once per session to the shared folder, as the
 jobs would leave them for each other.
 """
@@ -121,12 +121,14 @@ def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records without header, unparsable lines kept as null records."""
-    return parse_lines(lines(spark, sf_dir).drop("batch"), keep_invalid=True)
+    derive = lambda s, d: parse_lines(lines(s, d).drop("batch"), keep_invalid=True)
+    return _stored(spark, sf_dir, "quarantined", derive)
 
 
 def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line dropped by position, the others read without repair."""
-    return ragged_records(drop_first_row(lines(spark, sf_dir).drop("batch")))
+    derive = lambda s, d: ragged_records(drop_first_row(lines(s, d).drop("batch")))
+    return _stored(spark, sf_dir, "ragged", derive)
 
 
 def ragged_seven(spark: SparkSession, sf_dir: str) -> DataFrame:

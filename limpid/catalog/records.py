@@ -241,7 +241,7 @@ add(
 )
 add(
     "drop_header_keep_invalid",
-    lambda s, d: fr.quarantined(s, d),
+    lambda s, d: parsing.parse_lines(_plain_lines(s, d), keep_invalid=True),
     sql(f"select {ALL} from quarantined"),
 )
 add("parse_lines", lambda s, d: parsing.parse_lines(_plain_lines(s, d)), sql(f"select {ALL} from ingested"))
@@ -265,6 +265,11 @@ add(
     lambda s, d: cl.ensure_row_status(fr.ingested(s, d).drop("row_status")),
     sql(f"select {cols(('line_no', *RECORD[:6]))}, 'OK' as row_status from ingested"),
 )
+add(
+    "ragged_records",
+    lambda s, d: parsing.ragged_records(parsing.drop_first_row(_plain_lines(s, d))),
+    sql("select * from ragged"),
+)
 add(
     "coerce_numeric",
     lambda s, d: parsing.coerce_numeric(fr.ragged(s, d).drop("too_many_fields")),

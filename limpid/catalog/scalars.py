@@ -72,7 +72,7 @@ _scalar(
 )
 _scalar("round_n", lambda: F.round(ft.to_number(F.col("NOT_ELP")) / 3, 2), f"round({num('NOT_ELP')} / 3, 2)")
 _scalar("abs", lambda: F.abs(ft.to_number(F.col("NOT_ELP"))), f"abs({num('NOT_ELP')})")
-_scalar("log2", lambda: F.log2(ft.to_number(F.col("COD_ETU"))), f"log2({num('COD_ETU')})")
+_scalar("log2", lambda: F.log2(ft.to_number(F.col("COD_ETU"))), f"round(log2({num('COD_ETU')}), 6)")
 _scalar("default_literal", lambda: F.lit("cleaned"), "'cleaned'")
 _scalar(
     "default_if_missing",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # The white space that Python's str.strip() and re's \s know.
 _SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 _NOT_BLANK = f"[^{_SPACE}]"
-_BLANK_OR_NULL_WORD = f"^[{_SPACE}]*$|NULL|None"
+BLANK_OR_NULL_WORD = f"^[{_SPACE}]*$|NULL|None"
 
 # Decimal, exponent and infinity forms; no hex, no type suffix, no decimal comma.
 _NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
@@ -24,7 +24,7 @@ def has_text(c: Column) -> Column:
 
 def is_missing_text(c: Column) -> Column:
     """True when null, blank, or containing the word NULL or None."""
-    return F.coalesce(c.rlike(_BLANK_OR_NULL_WORD), F.lit(True))
+    return F.coalesce(c.rlike(BLANK_OR_NULL_WORD), F.lit(True))
 
 
 def null_if(c: Column, tokens: tuple[str, ...]) -> Column:
@@ -56,5 +56,5 @@ def field_count(c: Column, delimiter: str) -> Column:
 
 def percent_text(c: Column, signed: bool = False) -> Column:
     """'12.34%', with a leading + for gains when ``signed``."""
-    text = F.format_string("%.2f%%", c)
+    text = F.when(c.isNotNull(), F.format_string("%.2f%%", c))
     return F.when(c >= 0, F.concat(F.lit("+"), text)).otherwise(text) if signed else text

@@ -3,8 +3,9 @@
 A plain window sends all rows of a key to one task. Here the keys that hold
 more than 1/HEAVY_PARTS of the rows are found first, by a count that is combined
 map-side. There can be fewer than HEAVY_PARTS of them whatever the table
-size, so that list alone is broadcast. Rows of heavy keys get their value from
-that list without moving; the rest go through an ordinary window.
+size, so nothing larger than that is ever broadcast. Rows of heavy keys get their
+value from a broadcast of one row per heavy key, without moving; the rest go
+through an ordinary window.
 
 Keys are packed in one struct: struct equality treats null fields as equal, so
 null keys group and join with each other.
@@ -28,27 +29,29 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(_KEY, F.struct(*keys))
 
 
-def heavy_keys(keyed: DataFrame, aggregates: dict[str, Column], parts: int = HEAVY_PARTS) -> DataFrame:
-    """Keys holding more than 1/parts of all rows, with their aggregates: fewer than ``parts`` rows."""
-    stats = keyed.groupBy(_KEY).agg(
-        F.count(F.lit(1)).alias(_ROWS), *[c.alias(n) for n, c in aggregates.items()]
-    )
-    total = stats.agg(F.sum(_ROWS)).scalar()
-    return stats.where(F.col(_ROWS) * parts > total).drop(_ROWS)
+def heavy_keys(keyed: DataFrame, parts: int = HEAVY_PARTS) -> DataFrame:
+    """Keys holding more than 1/parts of all rows: fewer than ``parts`` of them, by arithmetic."""
+    counts = keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_ROWS))
+    total = counts.agg(F.sum(_ROWS)).scalar()
+    return counts.where(F.col(_ROWS) * parts > total).select(_KEY)
+
+
+def _split(df: DataFrame, keys: Sequence[str], parts: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of heavy keys, and the others; neither side has been shuffled."""
+    keyed = _keyed(df, keys)
+    heavy = F.broadcast(heavy_keys(keyed, parts))
+    return keyed.join(heavy, _KEY, "left_semi"), keyed.join(heavy, _KEY, "left_anti")
 
 
 def with_key_aggregates(
     df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column], parts: int = HEAVY_PARTS
 ) -> DataFrame:
     """Every row plus aggregates over all rows with the same key."""
-    keyed = _keyed(df, keys)
-    heavy = heavy_keys(keyed, aggregates, parts)
+    hot, cold = _split(df, keys, parts)
+    per_heavy_key = hot.groupBy(_KEY).agg(*[c.alias(n) for n, c in aggregates.items()])
     over = Window.partitionBy(_KEY)
-    hot = keyed.join(F.broadcast(heavy), _KEY)
-    cold = keyed.join(F.broadcast(heavy.select(_KEY)), _KEY, "left_anti").select(
-        "*", *[c.over(over).alias(n) for n, c in aggregates.items()]
-    )
-    return hot.unionByName(cold).drop(_KEY)
+    cold = cold.select("*", *[c.over(over).alias(n) for n, c in aggregates.items()])
+    return hot.join(F.broadcast(per_heavy_key), _KEY).unionByName(cold).drop(_KEY)
 
 
 def with_row_number(
@@ -65,14 +68,11 @@ def with_row_number(
     integers, so a block holds at most ``block`` rows) and shifted by the number of
     rows of the same key in earlier blocks.
     """
-    keyed = _keyed(df, keys)
-    heavy = heavy_keys(keyed, {}, parts)
+    hot, cold = _split(df, keys, parts)
     by_order = Window.partitionBy(_KEY).orderBy(order)
-    cold = keyed.join(F.broadcast(heavy), _KEY, "left_anti").withColumn(
-        name, F.row_number().over(by_order).cast("long")
-    )
+    cold = cold.withColumn(name, F.row_number().over(by_order).cast("long"))
 
-    hot = keyed.join(F.broadcast(heavy), _KEY).withColumn("_block", F.floor(F.col(order) / block))
+    hot = hot.withColumn("_block", F.floor(F.col(order) / block))
     earlier = Window.partitionBy(_KEY).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hot.groupBy(_KEY, "_block")
@@ -117,12 +117,11 @@ def flag_members(
     df: DataFrame, members: DataFrame, keys: Sequence[str], name: str, parts: int = HEAVY_PARTS
 ) -> DataFrame:
     """True on rows whose key occurs in ``members``, which holds each key once."""
-    keyed = _keyed(df, keys)
+    hot, cold = _split(df, keys, parts)
     marks = members.select(F.struct(*keys).alias(_KEY), F.lit(True).alias(name))
-    heavy = heavy_keys(keyed, {}, parts)
-    hot = keyed.join(F.broadcast(heavy.join(marks, _KEY, "left")), _KEY)
-    cold = keyed.join(F.broadcast(heavy), _KEY, "left_anti").join(marks, _KEY, "left")
-    return hot.unionByName(cold).withColumn(name, F.coalesce(name, F.lit(False))).drop(_KEY)
+    heavy_marks = marks.join(F.broadcast(heavy_keys(_keyed(df, keys), parts)), _KEY, "left_semi")
+    hot = hot.join(F.broadcast(heavy_marks), _KEY, "left")
+    return hot.unionByName(cold.join(marks, _KEY, "left")).withColumn(name, F.coalesce(name, F.lit(False))).drop(_KEY)
 
 
 def count_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ def _unpivot_row(df: DataFrame, values: dict[str, str], name: str, value: str, i
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, rows, missing) per column, from one pass without a shuffle of rows."""
     columns = list(columns or df.columns)
-    wide = df.agg(_rows().alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in columns])
+    wide = df.agg(_rows().alias("rows"), *[F.expr(f"count_if(`{c}` is null)").alias(f"m_{c}") for c in columns])
     return _unpivot_row(wide, {c: f"m_{c}" for c in columns}, "column_name", "missing", ["rows"])
 
 
@@ -198,51 +198,38 @@ def missing_correlation(
     """(col_a, col_b, corr): Pearson correlation of "is missing" between columns.
 
     Rows reduce to their pattern of missing cells, counted map-side; pairs of
-    columns are then counted over the few distinct patterns with whole numbers.
+    columns are then counted over the few distinct patterns, with whole numbers.
     Only the ``limit`` columns with the most missing values take part.
     """
     columns = [c for c in df.columns if c not in exclude]
-    bits = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
-    patterns = df.select(bits.alias("p")).groupBy("p").agg(_rows().alias("n"))
-    rows = patterns.agg(F.sum("n")).scalar()
-    places = F.array(*[F.lit(i) for i in range(len(columns))])
-    missing = F.filter(places, lambda i: F.substr(F.col("p"), i + 1, F.lit(1)) == "1")
-    held = patterns.select("n", missing.alias("m"))
-    single = (
-        held.select("n", F.explode("m").alias("i"))
-        .groupBy("i")
-        .agg(F.sum("n").alias("c"))
-        .orderBy(F.desc("c"), "i")
-        .limit(limit)
-    )
-    both = (
+    p = len(columns)
+    # A last column that is missing everywhere makes its own count the row count.
+    bits = F.expr("concat(" + ", ".join(f"if(`{c}` is null, '1', '0')" for c in columns) + ", '1')")
+    patterns = df.select(bits.alias("bits")).groupBy("bits").agg(_rows().alias("n"))
+    held = patterns.selectExpr("n", f"filter(sequence(0, {p}), i -> substr(bits, i + 1, 1) = '1') as m")
+    counts = (
         held.select("n", "m", F.explode("m").alias("a"))
-        .select("n", "a", F.explode("m").alias("b"))
-        .where("a < b")
+        .selectExpr("n", "a", "explode(filter(m, j -> j >= a)) as b")
         .groupBy("a", "b")
-        .agg(F.sum("n").alias("ab"))
+        .agg(F.sum("n").alias("n"))
     )
-    # At most ``limit`` columns take part, so their pairs fit in one array.
-    ranked = single.agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("s"))
-    pairs = (
-        ranked.select("s", F.explode("s").alias("x"))
-        .select("x", F.explode(F.filter("s", lambda y: y["i"] > F.col("x.i"))).alias("y"))
-        .select(
-            F.col("x.i").alias("a"), F.col("y.i").alias("b"), F.col("x.c").alias("ca"), F.col("y.c").alias("cb")
-        )
+    # One entry per pair of columns, whatever the number of rows.
+    known = counts.agg(F.collect_list(F.struct("a", "b", "n")).alias("c")).selectExpr(
+        "map_from_entries(transform(c, e -> struct(e.a * 100000 + e.b as k, e.n as v))) as n",
+        "transform(slice(array_sort(transform(filter(c, e -> e.a = e.b and e.a < "
+        f"{p}), e -> struct(-e.n as c, e.a as i))), 1, {limit}), e -> e.i) as cols",
+    )
+    pairs = known.selectExpr("n", "cols", "explode(cols) as a").selectExpr(
+        "n", "a", "explode(filter(cols, j -> j > a)) as b"
     )
-    n, ca, cb = F.col("rows"), F.col("ca"), F.col("cb")
-    spread = F.sqrt((n * ca - ca * ca).cast("double")) * F.sqrt((n * cb - cb * cb).cast("double"))
+    own = lambda i: f"n[{i} * 100000 + {i}]"
+    spread = " * ".join(f"sqrt(double({own(p)} * {own(i)} - {own(i)} * {own(i)}))" for i in ("a", "b"))
+    joint = f"({own(p)} * coalesce(n[a * 100000 + b], 0) - {own('a')} * {own('b')})"
     names = F.array(*[F.lit(c) for c in columns])
-    together = F.coalesce("ab", F.lit(0))
-    return (
-        pairs.join(both, ["a", "b"], "left")
-        .withColumn("rows", rows)
-        .select(
-            F.get(names, F.col("a")).alias("col_a"),
-            F.get(names, F.col("b")).alias("col_b"),
-            F.try_divide((n * together - ca * cb).cast("double"), spread).alias("corr"),
-        )
+    return pairs.select(
+        F.get(names, F.col("a")).alias("col_a"),
+        F.get(names, F.col("b")).alias("col_b"),
+        F.expr(f"try_divide(double({joint}), {spread})").alias("corr"),
     )
 
 
@@ -262,7 +249,14 @@ def issue_summary(ragged: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (all if fewer), the same ones every time: the lowest seeded digests."""
-    mark = F.md5(F.concat_ws(":", *keys, F.lit(seed)))
-    return df.withColumn("_mark", mark).orderBy("_mark", *keys).limit(n).drop("_mark")
+    """Exactly ``n`` rows (all if fewer), the same ones every time: the lowest seeded digests.
 
+    Counting rows by the first four digest digits finds where the n-th lies, so only
+    about n rows are sorted and not n per task.
+    """
+    marked = df.withColumn("_mark", F.md5(F.concat_ws(":", *keys, F.lit(seed))))
+    start = F.substring("_mark", 1, 4)
+    counts = marked.groupBy(start.alias("start")).agg(_rows().alias("rows"))
+    upto = counts.withColumn("upto", F.sum("rows").over(Window.orderBy("start")))
+    last = upto.agg(F.coalesce(F.min(F.when(F.col("upto") >= n, F.col("start"))), F.lit("ffff"))).scalar()
+    return marked.where(start <= last).orderBy("_mark", *keys).limit(n).drop("_mark")

@@ -9,71 +9,82 @@ from pyspark.sql import functions as F
 
 # Rank error of the first, approximate look is 1/ACCURACY.
 ACCURACY = 10_000
+SLICES = 1000
 
 
 def _numbers(df: DataFrame, value: str) -> DataFrame:
+    """(x): the value as a double, NaN as null. Nulls stay: aggregates ignore them for free."""
     x = F.col(value).cast("double")
-    return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return df.select(F.nanvl(x, F.lit(None).cast("double")).alias("x"))
 
 
 def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """One row with a column ``q0``, ``q1``, … per probability, linearly interpolated, exact.
 
-    Spark's exact ``percentile`` keeps every distinct value in one task. Here an
-    approximate look brackets each wanted rank. Then every value below a bracket is
-    merely counted, and only the values inside it, about 8/accuracy of the table, are
-    ordered. Raises if a rank falls outside its bracket, so a result is always exact.
+    ``probabilities`` must ascend. Spark's exact ``percentile`` keeps every distinct
+    value in one task. Here an approximate look brackets each wanted rank. Values
+    between brackets are merely counted; only the values inside, about 8/accuracy of the
+    table per probability, are ordered. Raises if a rank falls outside its bracket,
+    so a result is always exact.
     """
+    k = len(probabilities)
     spread = 4.0 / accuracy
     ends = [max(p - spread, 0.0) for p in probabilities] + [min(p + spread, 1.0) for p in probabilities]
     numbers = _numbers(df, value)
     look = numbers.agg(
-        F.struct(
-            F.count("x").alias("n"),
-            F.percentile_approx("x", ends, accuracy).alias("ends"),
-            F.min("x").alias("least"),
-            F.max("x").alias("most"),
-        )
-    ).scalar()
-
+        F.count("x").alias("n"),
+        F.percentile_approx("x", ends, accuracy).alias("ends"),
+        F.min("x").alias("least"),
+        F.max("x").alias("most"),
+    )
     # On few rows the bracket is the whole range; beyond, it is wide enough for rank errors.
-    few = F.col("look.n") <= accuracy
-    k = len(probabilities)
-    asked = [
-        F.struct(
-            F.lit(i).alias("i"),
-            (F.lit(float(p)) * (F.col("look.n") - 1)).alias("rank"),
-            F.when(few | F.lit(p <= spread), F.col("look.least")).otherwise(F.col("look.ends")[i]).alias("low"),
-            F.when(few | F.lit(p >= 1 - spread), F.col("look.most")).otherwise(F.col("look.ends")[k + i]).alias("high"),
-        )
-        for i, p in enumerate(probabilities)
-    ]
-    wanted = (
-        numbers.withColumn("look", look)
-        .select("x", F.inline(F.array(*asked)))
-        .where(F.col("x") <= F.col("high"))
-        .groupBy("i", "rank", F.when(F.col("x") >= F.col("low"), F.col("x")).alias("x"))
+    few = f"n <= {accuracy}"
+    low = [f"if({few} or {p <= spread}, least, ends[{i}])" for i, p in enumerate(probabilities)]
+    high = [f"if({few} or {p >= 1 - spread}, most, ends[{k + i}])" for i, p in enumerate(probabilities)]
+    edges = look.selectExpr(f"struct(n, array({', '.join(low)}) as low, array({', '.join(high)}) as high) as e").scalar()
+
+    # Bracket b of a value: how many brackets end below it. Null inside group = before bracket b.
+    passed = " + ".join(f"int(x > e.high[{i}])" for i in range(k))
+    counted = (
+        numbers.withColumn("e", edges)
+        .selectExpr("x", "e", f"{passed} as b")
+        .selectExpr("b", "if(x >= get(e.low, b), x, null) as x")
+        .groupBy("b", "x")
         .agg(F.count(F.lit(1)).alias("n"))
+        .where("b is not null")
+    )
+    # Each bracket is cut into SLICES ranges that are ordered apart; values before it are slice -1.
+    reach = "try_divide(x - get(e.low, b), get(e.high, b) - get(e.low, b))"
+    sliced = counted.withColumn("e", edges).selectExpr(
+        "b", "x", "n", f"if(x is null, -1, coalesce(int({reach} * {SLICES}), 0)) as s"
     )
-    rising = Window.partitionBy("i").orderBy("x")
-    placed = wanted.withColumn("upto", F.sum("n").over(rising))
-    at = F.floor("rank")
-    ends_at = lambda r: F.min(F.when(F.col("x").isNotNull() & (F.col("upto") > r), F.col("x")))
-    skipped = F.max(F.when(F.col("x").isNull(), F.col("n")))
-    found = placed.groupBy("i").agg(
-        F.first("rank").alias("rank"),
-        ends_at(at).alias("a"),
-        ends_at(F.ceil("rank")).alias("b"),
-        (F.coalesce(skipped, F.lit(0)) > F.floor(F.first("rank"))).alias("missed"),
+    # At most SLICES + 2 rows per probability.
+    before = (
+        sliced.groupBy("b", "s")
+        .agg(F.sum("n").alias("own"))
+        .withColumn("before", F.sum("own").over(Window.orderBy("b", "s")) - F.col("own"))
+        .drop("own")
     )
-    part = F.col("rank") - F.floor("rank")
-    answer = F.when(
-        F.col("missed") | F.col("a").isNull() | F.col("b").isNull(),
-        F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double"),
-    ).otherwise(F.col("a") + (F.col("b") - F.col("a")) * part)
-    return found.withColumn("q", answer).agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(k)]
+    rising = Window.partitionBy("b", "s").orderBy("x")
+    placed = sliced.join(F.broadcast(before), ["b", "s"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(rising)
     )
+    placed = placed.withColumn("rows", edges.getField("n"))
+    found, answers = [], []
+    for i, p in enumerate(probabilities):
+        rank = f"(double({float(p)!r}) * (rows - 1))"
+        found += [
+            f"min(if(x is not null and upto > floor({rank}), x, null)) as a{i}",
+            f"min(if(x is not null and upto > ceil({rank}), x, null)) as b{i}",
+            f"bool_or(x is null and upto > floor({rank}) and upto - n <= ceil({rank})) as missed{i}",
+            f"max({rank}) as r{i}",
+        ]
+        answers.append(
+            f"if(r{i} is not null and (missed{i} or a{i} is null or b{i} is null), "
+            f"double(raise_error('a quantile fell outside its bracket')), "
+            f"a{i} + (b{i} - a{i}) * (r{i} - floor(r{i}))) as q{i}"
+        )
+    return placed.agg(*[F.expr(e) for e in found]).selectExpr(*answers)
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
@@ -101,7 +112,8 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
         .otherwise(0)
     )
     counted = (
-        numbers.withColumn("e", ends)
+        numbers.where("x is not null")
+        .withColumn("e", ends)
         .withColumn("g", guess)
         .select((F.col("g") + shift).alias("bin"))
         .groupBy("bin")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from limpid.functions.text import has_text, is_missing_text, null_if, to_number
+from limpid.functions.text import BLANK_OR_NULL_WORD, has_text, null_if, to_number
 from limpid.operators.keys import count_copies
 from limpid.operators.quantiles import quantiles
 from limpid.rules import (
@@ -179,7 +179,8 @@ def scores_n(df: DataFrame, rules: Rules = DEFAULT, helpers: Sequence[str] = ())
 def _present_d(df: DataFrame, name: str) -> Column:
     """Share of cells of one column that are not missing; word tests apply to text only."""
     text = isinstance(df.schema[name].dataType, T.StringType)
-    return _share(~(is_missing_text(F.col(name)) if text else F.col(name).isNull())) * 100
+    test = f"`{name}` is not null" + (f" and not rlike(`{name}`, r'{BLANK_OR_NULL_WORD}')" if text else "")
+    return F.expr(f"try_divide(double(count_if({test})), count(1)) * 100")
 
 
 def completeness_d(df: DataFrame, helpers: Sequence[str] = ()) -> DataFrame:
