@@ -700,3 +700,16 @@ add(
     ).select("doc_id", "is_shared"),
     "select doc_id, count(*) over (partition by text) > 1 as is_shared from documents",
 )
+
+
+
+def _skipped(s, d):
+    """Rows read around the broken part, and how many parts were broken."""
+    path = _parts_with_a_broken_one(s, d)
+    skipped = read.skipped_parts(s, path, read.ingested_schema())
+    broken = skipped.agg(F.count_if(F.col("path").endswith("-broken.parquet"))).scalar()
+    rows = read.read_parts(s, path, read.ingested_schema()).agg(F.count(F.lit(1)).alias("rows_read"))
+    return rows.withColumn("broken_parts", broken)
+
+
+add("scan_parquet_skipped_parts", _skipped, sql("select count(*) as rows_read, cast(1 as bigint) as broken_parts from ingested"))

@@ -40,7 +40,7 @@ def read_lines(spark: SparkSession, path: str, rules: Rules = DEFAULT) -> DataFr
 def read_lines_lenient(spark: SparkSession, path: str, rules: Rules = DEFAULT) -> DataFrame:
     """As ``read_lines``, without undecodable bytes, splitting at every Unicode line end."""
     clean = F.translate(F.make_valid_utf8("value"), "\ufffd", "")
-    pieces = F.split(F.regexp_replace(clean, _LINE_ENDS + "$", ""), _LINE_ENDS)
+    pieces = F.split(clean, _LINE_ENDS)
     return (
         spark.read.text(path)
         .select(F.explode(pieces).alias("raw_line"))
@@ -110,10 +110,11 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def skipped_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(path) of part files that gave no row although they are there."""
-    # The listing carries names and sizes only; the content column is never asked for.
-    listed = _parts(spark, path).format("binaryFile").load(path).select("path")
-    read = read_parts(spark, path, schema).select(F.col("_metadata.file_path").alias("path")).distinct()
+    """(path, bytes) of part files that gave no row: the unreadable ones, and any that are empty tables."""
+    name = F.col("_metadata.file_path").alias("path")
+    # Listing only: without the content column no file is opened.
+    listed = _parts(spark, path).format("binaryFile").load(path).select(name, F.col("length").alias("bytes"))
+    read = read_parts(spark, path, schema).select(name).distinct()
     return listed.join(read, "path", "left_anti")
 
 
