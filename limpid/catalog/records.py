@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from limpid.catalog import frames as fr
@@ -330,6 +332,11 @@ add(
     lambda s, d: drill.duplicate_members(fr.ingested(s, d), ("COD_ETU", "COD_ELP", "COD_SES"), "line_no"),
     sql(f"select {ALL} from ingested qualify count(*) over (partition by {cols(KEY)}) > 1"),
 )
+add(
+    "drill_duplicate_rows_cleaned",
+    lambda s, d: drill.duplicate_members(fr.cleaned(s, d), ("COD_ETU", "COD_ELP", "COD_SES"), "line_no"),
+    sql(f"select {cols(('line_no', *CLEANED))} from cleaned qualify count(*) over (partition by {cols(KEY)}) > 1"),
+)
 add(
     "keep_first_row",
     lambda s, d: keys.keep_first(fr.ingested(s, d), KEY, "line_no"),
@@ -386,6 +393,15 @@ add(
     lambda s, d: cl.clean_year(fr.ingested(s, d)),
     sql(f"select {ALL} from c1"),
 )
+_SUCCESSOR = replace(DEFAULT, short_year_successor=True)
+add(
+    "year_normalize_successor",
+    lambda s, d: fr.ingested(s, d).select("line_no", ff.academic_year(F.col("COD_ANU"), _SUCCESSOR).alias("COD_ANU")),
+    sql(
+        f"select line_no, case {year_form('COD_ANU')} when 'YY/YY' then '20'||substring(COD_ANU, 1, 2)||'-'||"
+        f"cast(2001 + try_cast(substring(COD_ANU, 1, 2) as int) as varchar) else {year('COD_ANU')} end as COD_ANU from ingested"
+    ),
+)
 add(
     "year_metrics",
     lambda s, d: six(cl.year_metrics(cleaning.year_audit(fr.ingested(s, d)), "year_read")),
@@ -499,6 +515,25 @@ add(
         "from quarantined"
     ),
 )
+_REQUIRED = replace(DEFAULT, status_required=True)
+add(
+    "status_validate_required",
+    lambda s, d: cl.clean_status(fr.quarantined(s, d), _REQUIRED).select("line_no", "COD_TRE", "cod_tre_invalid", "row_status"),
+    sql(
+        f"select line_no, case when not {_BAD_STATUS} then upper(trim(COD_TRE)) end as COD_TRE, "
+        f"COD_TRE is null or {_BAD_STATUS} as cod_tre_invalid, "
+        f"case when COD_TRE is null or {_BAD_STATUS} then 'FLAGGED' else row_status end as row_status from quarantined"
+    ),
+)
+_RETAKE = replace(DEFAULT, failed="RAT")
+add(
+    "grade_status_incoherent_other_code",
+    lambda s, d: cl.grade_flags(fr.ingested(s, d), _RETAKE).select("line_no", "note_incoherent"),
+    sql(
+        f"select line_no, (COD_TRE = 'V' and {grade('NOT_ELP')} < 10) or (COD_TRE = 'RAT' and {grade('NOT_ELP')} >= 10) "
+        "as note_incoherent from ingested"
+    ),
+)
 add(
     "status_metrics",
     lambda s, d: six(cl.flag_metrics(cl.clean_status(fr.ingested(s, d)), "cod_tre_invalid")),

@@ -32,16 +32,22 @@ def year_corrected(c: Column) -> Column:
 def academic_year(c: Column, rules: Rules = DEFAULT) -> Column:
     """YYYY-YYYY, or null. YYYY gets its successor; YY/YY gets the century on both parts."""
     form = year_form(c)
-    following = (c.try_cast("int") + 1).cast("string")
     century = rules.century
-    expanded = F.regexp_replace(c, r"^(\d{2})/(\d{2})$", f"{century}$1-{century}$2")
+    if rules.short_year_successor:
+        expanded = _with_successor(F.concat(F.lit(str(century)), F.substring(c, 1, 2)))
+    else:
+        expanded = F.regexp_replace(c, r"^(\d{2})/(\d{2})$", f"{century}$1-{century}$2")
     return (
         F.when(form == "YYYY-YYYY", c)
-        .when(form == "YYYY", F.concat_ws("-", c, following))
+        .when(form == "YYYY", _with_successor(c))
         .when(form == "YY/YY", expanded)
     )
 
 
+def _with_successor(start: Column) -> Column:
+    return F.concat_ws("-", start, (start.try_cast("int") + 1).cast("string"))
+
+
 def upper_trimmed(c: Column) -> Column:
     return F.upper(F.trim(c))
 
@@ -76,8 +82,9 @@ def grade_missing_in(grade: Column, session: Column, number: int) -> Column:
 
 
 def status_is_bad(code: Column, rules: Rules = DEFAULT) -> Column:
-    """True for a non-null code outside the accepted list."""
-    return code.isNotNull() & ~F.coalesce(code.isin(*rules.status_codes), F.lit(False))
+    """True for a code outside the accepted list; null is accepted unless a status is required."""
+    unknown = ~F.coalesce(code.isin(*rules.status_codes), F.lit(False))
+    return unknown if rules.status_required else code.isNotNull() & unknown
 
 
 def session_is_bad(session: Column, rules: Rules = DEFAULT) -> Column:

@@ -207,9 +207,10 @@ def missing_correlation(
     bits = F.expr("concat(" + ", ".join(f"if(`{c}` is null, '1', '0')" for c in columns) + ", '1')")
     patterns = df.select(bits.alias("bits")).groupBy("bits").agg(_rows().alias("n"))
     held = patterns.selectExpr("n", f"filter(sequence(0, {p}), i -> substr(bits, i + 1, 1) = '1') as m")
+    # The lists are never empty; a plain explode would test that on every row of the table.
     counts = (
-        held.select("n", "m", F.explode("m").alias("a"))
-        .selectExpr("n", "a", "explode(filter(m, j -> j >= a)) as b")
+        held.select("n", "m", F.explode_outer("m").alias("a"))
+        .selectExpr("n", "a", "explode_outer(filter(m, j -> j >= a)) as b")
         .groupBy("a", "b")
         .agg(F.sum("n").alias("n"))
     )

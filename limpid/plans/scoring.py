@@ -47,7 +47,11 @@ def _combine(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
     """One frame from frames with one row each, or one row per batch each."""
     first, *rest = frames
     if by:
-        return reduce(lambda a, b: a.join(b, list(by), "left"), rest, first)
+        for frame in rest:
+            other = frame.withColumnsRenamed({k: f"_{k}" for k in by})
+            same = reduce(lambda a, b: a & b, [first[k].eqNullSafe(other[f"_{k}"]) for k in by])
+            first = first.join(other, same, "left").drop(*[f"_{k}" for k in by])
+        return first
     for i, frame in enumerate(rest):
         row = frame.select(F.struct(*frame.columns)).scalar()
         first = first.withColumn(f"_{i}", row).select("*", f"_{i}.*").drop(f"_{i}")

@@ -91,6 +91,10 @@ class Rules:
     sessions: tuple[int, int] = (1, 2)
     course_length: int = 8
     century: int = 20
+    # YY/YY becomes start-(start + 1) instead of keeping both parts.
+    short_year_successor: bool = False
+    # A missing result code counts as invalid.
+    status_required: bool = False
     year_range: tuple[int, int] = (2000, 2100)
     # Column that numbers the source rows; it decides which duplicate survives.
     order: str = "line_no"

@@ -32,7 +32,11 @@ def cleaned_schema(rules: Rules = DEFAULT) -> T.StructType:
 
 
 def read_lines(spark: SparkSession, path: str, rules: Rules = DEFAULT) -> DataFrame:
-    """(line_no, raw_line): one row per line, numbered uniquely in scan order."""
+    """(line_no, raw_line): one row per line, numbered uniquely in scan order.
+
+    Store the numbers with the ingested records: another scan, with other file sizes
+    or settings, may number the lines differently.
+    """
     text = spark.read.text(path)
     return text.select(F.monotonically_increasing_id().alias(rules.order), F.col("value").alias("raw_line"))
 
@@ -43,7 +47,8 @@ def read_lines_lenient(spark: SparkSession, path: str, rules: Rules = DEFAULT) -
     pieces = F.split(clean, _LINE_ENDS)
     return (
         spark.read.text(path)
-        .select(F.explode(pieces).alias("raw_line"))
+        # Never empty, so "outer" changes nothing but spares a second split that tests for it.
+        .select(F.explode_outer(pieces).alias("raw_line"))
         .select(F.monotonically_increasing_id().alias(rules.order), "raw_line")
     )
 
