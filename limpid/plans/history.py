@@ -18,6 +18,11 @@ def history_row(scores: DataFrame, stage: str, at: Column) -> DataFrame:
     return scores.select(at.alias(TIME), F.lit(stage).alias(STAGE), *scores.columns)
 
 
+def utc_now() -> Column:
+    """The current UTC time without a zone, whatever the session's time zone."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+
+
 def iso_text(at: Column) -> Column:
     """Time as ISO text to the microsecond."""
     return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

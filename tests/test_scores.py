@@ -252,3 +252,14 @@ def test_compare_counts_a_missing_score_as_zero(spark):
     after = spark.createDataFrame([(40.0, 7.0, 2.0)], "a double, b double, global_score double")
     rows = {r.dimension: tuple(r)[1:] for r in history.compare(before, after, shown=True).collect()}
     assert rows == {"a": ("50.00%", "40.00%", "-10.00%"), "b": ("0.00%", "7.00%", "+7.00%")}
+
+
+def test_utc_now_ignores_the_session_zone(spark):
+    from datetime import UTC, datetime
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        now = spark.range(1).select(history.utc_now().alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert abs((datetime.now(UTC).replace(tzinfo=None) - now).total_seconds()) < 60
