@@ -31,3 +31,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.bpe import encode_documents
 
     return encode_documents(table(spark, sf_dir, "documents"), *rank_file())
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
