@@ -38,3 +38,10 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
