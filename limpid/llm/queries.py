@@ -45,3 +45,31 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.repeats import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def learned_from(docs: DataFrame) -> DataFrame:
+    """The rows that models learn from: crc32 of doc_id as text leaves another remainder than 2 when divided by 4."""
+    from pyspark.sql import functions as F
+
+    return docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from limpid.llm.language import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(learned_from(docs).select("doc_id", "text", "lang"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_char", "rejected"
+    )
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.decontaminate import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

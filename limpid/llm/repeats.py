@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from limpid.llm.arrays import U64, Rolling, long_array, mix, text_slices
 from limpid.llm.storage import stored
@@ -192,10 +193,13 @@ def refine_by_count(strips: DataFrame, window: int) -> DataFrame:
     return hit.select("doc_id", "mark", "start", (F.col("start") + window).cast("int").alias("stop"))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, keep_text: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, keep_text: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with keep_text also kept_text, the rest as text.
 
-    Where removal cuts a character of several bytes, kept_text lacks its remaining bytes; the digest has them.
+    Where removal cuts a character of several bytes, kept_text lacks its remaining bytes; the digest has them. Columns
+    of docs named in carry come along.
     """
     if not 0 < gram <= window:
         raise ValueError("a gram must fit into the window")
@@ -230,12 +234,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
     ranges = ranges.groupBy(*owner).agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names_out = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * keep_text
+        names_out = [*carry, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * keep_text
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 out = []
-                for text, spans in zip(part.column("text").to_pylist(), part.column("ranges"), strict=True):
+                for text, spans in zip(part.column("_text").to_pylist(), part.column("_ranges"), strict=True):
                     raw = text.encode()
                     spans = spans.values
                     rest, n_spans = raw, 0
@@ -251,12 +255,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
                         rest = b"".join([raw[a:b] for a, b in zip([0, *ends], [*begins, len(raw)], strict=True)])
                     row = [len(raw), len(raw) - len(rest), n_spans, hashlib.sha256(rest).hexdigest()]
                     out.append(row + [rest.decode(errors="ignore")] * keep_text)
-                columns = list(zip(*out, strict=True)) or [()] * (len(names_out) - 1)
+                columns = list(zip(*out, strict=True)) or [()] * (4 + keep_text)
                 types = [pa.int64()] * 3 + [pa.string()] * (1 + keep_text)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id")] + [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names_out
+                    part.columns[2:] + [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names_out
                 )
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
-    joined = texts.join(ranges, nullsafe(texts, ranges), "left").select(texts["doc_id"], "text", "ranges")
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("_doc_id"), F.coalesce("text", F.lit("")).alias("_text"), F.struct(*carry).alias("_carry") if carry else F.lit(None).alias("_carry")
+    ).withColumn("_mark", F.hash("_text"))
+    joined = whole.join(ranges, whole["_doc_id"].eqNullSafe(ranges["doc_id"]) & (whole["_mark"] == ranges["mark"]), "left")
+    joined = joined.select("_text", F.col("ranges").alias("_ranges"), *[F.col(f"_carry.`{c}`") for c in carry], F.col("_doc_id").alias("doc_id"))
+    schema = T.StructType([docs.schema[c] for c in carry])
+    for name in ("doc_id", "n_bytes", "n_removed", "n_spans"):
+        schema.add(name, "long")
+    for name in ["kept_sha256"] + ["kept_text"] * keep_text:
+        schema.add(name, "string")
     return joined.mapInArrow(cut, schema)
