@@ -73,3 +73,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.decontaminate import decontaminate
 
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.merkle import edited_neighbours
+
+    return edited_neighbours(table(spark, sf_dir, "documents"))
