@@ -80,3 +80,10 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.merkle import edited_neighbours
 
     return edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.licenses import licenses
+
+    return licenses(table(spark, sf_dir, "documents"))
