@@ -87,3 +87,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.licenses import licenses
 
     return licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
