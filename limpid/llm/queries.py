@@ -94,3 +94,19 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.html import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learned_from)
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from limpid.llm.token_files import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
