@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limpid.llm.arrays import GOLDEN, U64, long_array, mix, not_space, shingles, text_slices, words_of
@@ -23,7 +23,7 @@ from limpid.llm.storage import stored
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 56, 6
-ROUNDS = 3
+ROUNDS = 2
 
 
 @cache
@@ -109,44 +109,68 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def rare_pairs(mixed: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """Pairs (a, b) of the ids in mixed (id, component) that may be alike, of different components.
+
+    Exact: sets this alike share one of their rarest shingles, ordered by how many of these sets have them; a set of n
+    needs its n - ceil(percent/100 n) + 1 rarest. Passages that many texts share are thus no candidates.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                sets = [x.view(np.int64) for x in _sets(part.column("text"), width)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "found"])
+
+    sets = texts.join(mixed.select("id"), "id", "left_semi").mapInArrow(run, "id long, found array<long>")
+    each = sets.select("id", F.size("found").alias("n"), F.explode("found").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1")
+    each = each.join(often, "shingle", "left")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "shingle"))
+    rare = each.withColumn("rank", rank).filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & F.col("often").isNotNull())
+    rare = rare.join(mixed, "id").select("shingle", "id", "n", "component", "rank")
+    other = rare.select("shingle", F.struct("id", "n", "component", "rank").alias("hub"))
+    # From the first shingle in common on, enough must be left in both for the intersection that the pair needs.
+    close = F.expr(
+        f"id < hub.id AND component != hub.component AND 100 * least(n, hub.n) >= {int(percent)} * greatest(n, hub.n)"
+        f" AND {100 + int(percent)} * least(n - rank + 1, hub.n - hub.rank + 1) >= {int(percent)} * (n + hub.n)"
+    )
+    return rare.join(other, "shingle").filter(close).select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, width: int = WIDTH, rounds: int = ROUNDS
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
     Equal sets are one class, represented by its least doc_id. In each bucket of each band the members are paired with
-    one hub only, and confirmed on the full sets; a later round takes another hub and only members that are not yet
-    in the hub's component. What is left after the rounds, members of one bucket in different components, is compared
-    pair by pair, so no link that the buckets offer is lost, while a group of similar texts never makes all its pairs.
+    one hub only, and confirmed on the full sets; a later round takes members that are not yet in the hub's component.
+    Members of one bucket that are in different components after the rounds are compared through their rarest shingles,
+    so no link is lost to the stars, while a group of similar texts never makes all its pairs.
     """
     found = stored(fingerprints(docs, bands, rows, width), "fingerprints")
-    classes = found.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key1", "key2").agg(F.min("doc_id").alias("id"))
-    keep = ["key1", "key2", "id"]
-    chosen = found.join(classes.select("key1", "key2", F.col("id").alias("doc_id")), ["key1", "key2", "doc_id"], "left_semi")
-    buckets = stored(chosen.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands"), "classes").select(
-        "id", "n", F.explode("bands").alias("bucket")
-    )
-    shared = buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("bucket")
-    members = stored(buckets.join(shared, "bucket").distinct(), "members")
-    # Rows may repeat a doc_id: an id then stands for any one of them, and its text must be the class's own.
+    usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = usable.groupBy("key1", "key2").agg(F.min("doc_id").alias("id"))
+    buckets = usable.select("doc_id", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("bucket")
+    named = usable.select("doc_id", F.col("n_shingles").alias("n"), "key1", "key2").join(classes, ["key1", "key2"]).select("doc_id", "n", "id")
+    members = stored(buckets.join(shared, "bucket").join(named, "doc_id").select("bucket", "id", "n").distinct(), "members")
+    # Rows may repeat a doc_id with other texts: an id then stands for all of them.
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     links = members.sparkSession.createDataFrame([], "a long, b long")
     tested, component = links, None
-    close = F.expr(f"100 * least(n, hub.n) >= {int(percent)} * greatest(n, hub.n)")
+    close = F.expr(f"component != hub.component AND 100 * least(n, hub.n) >= {int(percent)} * greatest(n, hub.n)")
     for turn in range(rounds + 1):
         now = members if component is None else members.join(component, "id", "left")
         now = now.withColumn("component", F.coalesce("component", "id") if component is not None else F.col("id"))
-        if turn:
-            mixed = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
-            now = stored(now.join(mixed, "bucket", "left_semi"), "mixed")
+        mixed = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
+        now = stored(now.join(mixed, "bucket", "left_semi"), "mixed")
         if turn < rounds:
-            hub = F.min(F.struct("id", "n", "component")) if turn < 2 else F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(turn)))
-            offered = now.join(now.groupBy("bucket").agg(hub.alias("hub")), "bucket")
+            hubs = now.groupBy("bucket").agg(F.min(F.struct("id", "n", "component")).alias("hub"))
+            pairs = now.join(hubs, "bucket").filter(close).select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
         else:
-            other = now.select("bucket", F.struct("id", "n", "component").alias("hub"))
-            offered = now.join(other, "bucket").filter("id < hub.id")
-        offered = offered.filter("component != hub.component").filter(close)
-        pairs = offered.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+            pairs = rare_pairs(stored(now.select("id", "component").distinct(), "rest"), texts, percent, width)
         if turn == 0:  # one hub for each member settles most of them
             pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         else:
@@ -157,7 +181,7 @@ def near_duplicates(
         links = links.unionByName(stored(confirmed(pairs, texts, percent, width), "links"))
         tested = tested.unionByName(pairs)
         component = stored(components(links), "components")
-    out = found.drop("bands").join(classes.select(*keep), ["key1", "key2"], "left")
+    out = found.drop("bands").join(classes, ["key1", "key2"], "left")
     if component is not None:
         out = out.join(component, "id", "left")
     else:
