@@ -33,11 +33,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of the texts; a document that is nothing but repeats goes."""
-    cut = remove_repeats(docs.withColumn("_all", F.struct(*docs.columns)), keep_text=True, carry=("_all",))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    cut = remove_repeats(docs.withColumn("_others", F.struct(*others)), keep_text=True, carry=("_others",))
     cut = cut.filter("n_removed = 0 OR n_removed < n_bytes")
-    new = {"text": F.when(F.col("n_removed") == 0, F.col("_all.text")).otherwise(F.col("kept_text"))}
-    new["n_chars"] = F.when(F.col("n_removed") == 0, F.col("_all.n_chars")).otherwise(F.length("kept_text").cast("long"))
-    return cut.select(*[new.get(c, F.col(f"_all.`{c}`")).alias(c) for c in docs.columns])
+    n_chars = F.when(F.col("n_removed") == 0, F.col("_others.n_chars")).otherwise(F.length("kept_text"))
+    new = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": n_chars.cast("long")}
+    return cut.select(*[new.get(c, F.col(f"_others.`{c}`")).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -203,11 +203,15 @@ def remove_repeats(
     """
     if not 0 < gram <= window:
         raise ValueError("a gram must fit into the window")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("mark", F.hash("text"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        *([F.struct(*carry).alias("carry")] if carry else []),
+    ).withColumn("mark", F.hash("text"))
     owner = ["doc_id", "mark"]
     found = find_runs(rows.filter(F.octet_length("text") >= window), window, gram)
     shared = found.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
-    kept = found.join(shared, "bucket")
+    kept = stored(found.join(shared, "bucket"), "repeated")
     names = stored(
         kept.groupBy("bucket", "run").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "mark", "lo", "n")).alias("one")), "runs"
     )
@@ -220,11 +224,9 @@ def remove_repeats(
         F.collect_list(F.struct("one.lo", "one.n", "bucket", (F.col("c") == 1).alias("alone"), "hot")).alias("runs")
     )
     nullsafe = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["mark"] == b["mark"])
-    texts = rows.select("doc_id", "mark", "text")
-
     def strips(which: str) -> DataFrame:
         own = stored_wanted.select("doc_id", "mark", F.filter("runs", lambda r: r["hot"] if which == "hot" else ~r["hot"]).alias("runs")).filter("size(runs) > 0")
-        joined = texts.join(own, nullsafe(texts, own)).select(texts["doc_id"], texts["mark"], "text", "runs")
+        joined = rows.join(own, nullsafe(rows, own)).select(rows["doc_id"], rows["mark"], "text", "runs")
         return cut_strips(joined.dropDuplicates(owner), window)
 
     stored_wanted = stored(wanted, "wanted")
@@ -239,7 +241,7 @@ def remove_repeats(
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 out = []
-                for text, spans in zip(part.column("_text").to_pylist(), part.column("_ranges"), strict=True):
+                for text, spans in zip(part.column("text").to_pylist(), part.column("ranges"), strict=True):
                     raw = text.encode()
                     spans = spans.values
                     rest, n_spans = raw, 0
@@ -261,11 +263,9 @@ def remove_repeats(
                     part.columns[2:] + [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names_out
                 )
 
-    whole = docs.select(
-        F.col("doc_id").cast("long").alias("_doc_id"), F.coalesce("text", F.lit("")).alias("_text"), F.struct(*carry).alias("_carry") if carry else F.lit(None).alias("_carry")
-    ).withColumn("_mark", F.hash("_text"))
-    joined = whole.join(ranges, whole["_doc_id"].eqNullSafe(ranges["doc_id"]) & (whole["_mark"] == ranges["mark"]), "left")
-    joined = joined.select("_text", F.col("ranges").alias("_ranges"), *[F.col(f"_carry.`{c}`") for c in carry], F.col("_doc_id").alias("doc_id"))
+    # The same shuffle of the texts serves the strips and this join.
+    joined = rows.join(ranges, nullsafe(rows, ranges), "left")
+    joined = joined.select("text", "ranges", *[F.col(f"carry.`{c}`") for c in carry], rows["doc_id"])
     schema = T.StructType([docs.schema[c] for c in carry])
     for name in ("doc_id", "n_bytes", "n_removed", "n_spans"):
         schema.add(name, "long")
