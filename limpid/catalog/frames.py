@@ -85,10 +85,8 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[Spark
 def derive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line_no, batch, raw_line), the header line first with number -1."""
     orders = table(spark, sf_dir, "orders").selectExpr(*ORDER_EXPRESSIONS)
-    cores = spark.sparkContext.defaultParallelism
     # A single small file scans as one task; parsing its lines should use all cores.
-    if orders.rdd.getNumPartitions() < cores:
-        orders = orders.repartition(cores, "k")
+    orders = orders.repartition("k")
     fields = (
         orders.selectExpr("*", "explode(array(0, 1, 2, 3)) as s")
         .selectExpr("*", "k*4+s as ln")
@@ -127,7 +125,7 @@ def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line dropped by position, the others read without repair."""
-    derive = lambda s, d: ragged_records(drop_first_row(lines(s, d).drop("batch")))
+    derive = lambda s, d: ragged_records(drop_first_row(lines(s, d).drop("batch"))).drop("surplus")
     return _stored(spark, sf_dir, "ragged", derive)
 
 

@@ -48,6 +48,19 @@ def to_int(c: Column) -> Column:
     return F.when(c.rlike(_INTEGER) & c.rlike("[0-9.]"), padded.try_cast("int"))
 
 
+def literal_pattern(text: str) -> str:
+    """A pattern that matches just this text."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def surplus_fields(line: Column, delimiter: str, width: int) -> Column:
+    """What a CSV line holds after its first ``width`` fields, null if it has no more; quotes keep delimiters."""
+    mark, first = literal_pattern(delimiter), literal_pattern(delimiter[0])
+    field = rf'(?:"(?:[^"\\]|\\.|"")*+"(?:(?!{first}).)*|(?!")(?:(?!{mark}).)*)'
+    pattern = rf"(?s)^(?:{field}{mark}){{{width}}}(.*)$"
+    return F.when(line.rlike(pattern), F.regexp_extract(line, pattern, 1))
+
+
 def field_count(c: Column, delimiter: str) -> Column:
     """Number of delimited fields, without building the array."""
     gone = F.replace(c, F.lit(delimiter), F.lit(""))

@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from limpid.functions.names import named
 from limpid.operators.keys import flag_shared_key
 from limpid.rules import DEFAULT, Rules
 
@@ -28,8 +30,10 @@ def invalid_rows(records: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 
 
 def incomplete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows with a null in any of ``columns``."""
-    tests = [F.col(c).isNull() for c in (columns or df.columns)]
+    """Rows with a null or NaN in any of ``columns``."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    missing = lambda c: named(c).isNull() | F.isnan(named(c)) if isinstance(kinds[c], (T.FloatType, T.DoubleType)) else named(c).isNull()
+    tests = [missing(c) for c in (columns or df.columns)]
     return df.where(reduce(lambda a, b: a | b, tests))
 
 

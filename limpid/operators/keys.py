@@ -1,9 +1,9 @@
 """Work per key that stays balanced when one key holds much of the table.
 
 A plain window sends all rows of a key to one task. Here the keys that hold
-more than 1/HEAVY_PARTS of the rows are found first, by a count that is combined
-map-side. There can be fewer than HEAVY_PARTS of them whatever the table
-size, so nothing larger than that is ever broadcast. Rows of heavy keys get their
+more than 1/HEAVY_PARTS of the rows, or more than HEAVY_ROWS, are found first, by a count
+that is combined map-side. There are fewer than HEAVY_PARTS + rows / HEAVY_ROWS of them, so
+nothing larger than that is ever broadcast. Rows of heavy keys get their
 value from a broadcast of one row per heavy key, without moving; the rest go
 through an ordinary window.
 
@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEAVY_PARTS = 4096
-# Rows with order numbers in the same block of this width are ranked in one task.
+# A key with more rows than this is heavy in a table of any size.
+HEAVY_ROWS = 2_000_000
+# About so many rows of a heavy key are ranked in one task.
 BLOCK = 1 << 20
 
 _KEY, _ROWS = "_key", "_rows"
@@ -30,10 +32,10 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def heavy_keys(keyed: DataFrame, parts: int = HEAVY_PARTS) -> DataFrame:
-    """Keys holding more than 1/parts of all rows: fewer than ``parts`` of them, by arithmetic."""
+    """Keys with more than 1/parts of all rows or more than HEAVY_ROWS: fewer than parts + rows / HEAVY_ROWS, by arithmetic."""
     counts = keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_ROWS))
     total = counts.agg(F.sum(_ROWS)).scalar()
-    return counts.where(F.col(_ROWS) * parts > total).select(_KEY)
+    return counts.where((F.col(_ROWS) * parts > total) | (F.col(_ROWS) > HEAVY_ROWS)).select(_KEY)
 
 
 def _split(df: DataFrame, keys: Sequence[str], parts: int) -> tuple[DataFrame, DataFrame]:
@@ -64,15 +66,18 @@ def with_row_number(
 ) -> DataFrame:
     """Number the rows of each key by ``order``, a unique integer column.
 
-    Rows of heavy keys are numbered inside blocks of order values (unique
-    integers, so a block holds at most ``block`` rows) and shifted by the number of
-    rows of the same key in earlier blocks.
+    Rows of heavy keys are numbered inside blocks of order values and shifted by the number of rows of the
+    same key in earlier blocks. A key's range of order values is cut into one block for each ``block`` rows, so
+    sparse order values make no more blocks than dense ones.
     """
     hot, cold = _split(df, keys, parts)
     by_order = Window.partitionBy(_KEY).orderBy(order)
     cold = cold.withColumn(name, F.row_number().over(by_order).cast("long"))
 
-    hot = hot.withColumn("_block", F.floor(F.col(order) / block))
+    spans = hot.groupBy(_KEY).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.count(F.lit(1)).alias(_ROWS))
+    # Whole numbers throughout: doubles are inexact beyond 2^53.
+    spans = spans.selectExpr(_KEY, "_lo", f"1 + (_hi - _lo) div (1 + {_ROWS} div {int(block)}) as _width")
+    hot = hot.join(F.broadcast(spans), _KEY).withColumn("_block", F.expr(f"(`{order}` - _lo) div _width")).drop("_lo", "_width")
     earlier = Window.partitionBy(_KEY).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hot.groupBy(_KEY, "_block")

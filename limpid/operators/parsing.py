@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.functions.text import field_count, null_if, to_number
+from limpid.functions.text import field_count, literal_pattern, null_if, surplus_fields, to_number
 from limpid.rules import DEFAULT, MISSING_TOKENS, Rules
 
 RAW = "raw_line"
@@ -16,7 +16,7 @@ RAW = "raw_line"
 
 def split_lines(lines: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Add ``parts``: the fields, trailing empty ones kept, quotes not interpreted."""
-    return lines.withColumn("parts", F.split(RAW, rules.delimiter))
+    return lines.withColumn("parts", F.split(RAW, literal_pattern(rules.delimiter)))
 
 
 def row_status(parts: Column, rules: Rules = DEFAULT) -> Column:
@@ -80,11 +80,12 @@ def ragged_records(lines: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Read each line as CSV onto the six fields plus EXTRA, without any repair.
 
     Short lines are padded with null, missing-value tokens become null, blank
-    lines go. ``too_many_fields`` marks lines that had more than seven fields.
+    lines go. ``too_many_fields`` marks lines that had more than seven fields, and ``surplus`` keeps their rest.
     """
     names = [*rules.cols.fields, "EXTRA"]
     carried = [c for c in lines.columns if c != RAW]
     schema = ", ".join(f"`{n}` string" for n in [*names, "_more"])
+    surplus = surplus_fields(F.col(RAW), rules.delimiter, len(names))
     row = F.from_csv(RAW, schema, {"sep": rules.delimiter})
     return (
         lines.where(F.col(RAW).rlike(r"\S"))
@@ -92,7 +93,8 @@ def ragged_records(lines: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
         .select(
             *carried,
             *[null_if(F.col(f"_row.`{n}`"), MISSING_TOKENS).alias(n) for n in names],
-            (field_count(F.col(RAW), rules.delimiter) > len(names)).alias("too_many_fields"),
+            surplus.isNotNull().alias("too_many_fields"),
+            surplus.alias("surplus"),
         )
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from limpid.functions.names import named, nan_as_null
 from limpid.operators.keys import count_copies
 from limpid.operators.quantiles import quantiles
 from limpid.rules import DEFAULT, Rules
@@ -20,17 +21,15 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _unpivot_row(df: DataFrame, values: dict[str, str], name: str, value: str, ids: Sequence[str] = ()) -> DataFrame:
-    """(name, value) rows from a row whose column ``values[n]`` holds the value of ``n``."""
-    renamed = df.select(*ids, *[F.col(src).alias(n) for n, src in values.items()])
-    return renamed.unpivot(list(ids), list(values), name, value)
-
-
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, rows, missing) per column, from one pass without a shuffle of rows."""
+    """(column_name, rows, missing) per column, from one pass without a shuffle of rows; NaN is missing."""
     columns = list(columns or df.columns)
-    wide = df.agg(_rows().alias("rows"), *[F.expr(f"count_if(`{c}` is null)").alias(f"m_{c}") for c in columns])
-    return _unpivot_row(wide, {c: f"m_{c}" for c in columns}, "column_name", "missing", ["rows"])
+    seen = nan_as_null(df.select(*[named(c) for c in columns]))
+    wide = seen.agg(_rows().alias("_rows"), *[F.count_if(named(c).isNull()).alias(f"_m{i}") for i, c in enumerate(columns)])
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.col("_rows").alias("rows"), F.col(f"_m{i}").alias("missing")) for i, c in enumerate(columns)
+    ]
+    return wide.select(F.inline(F.array(*cells)))
 
 
 def missing_total(df: DataFrame) -> DataFrame:
@@ -44,14 +43,10 @@ def missing_rates(df: DataFrame, digits: int | None = None) -> DataFrame:
     return missing_counts(df).select("column_name", (shown * 100).alias("missing_pct"))
 
 
-def missing_rank(df: DataFrame, limit: int = 40) -> DataFrame:
-    """Columns with missing values, worst first, at most ``limit``."""
-    return (
-        missing_rates(df)
-        .where("missing_pct > 0")
-        .orderBy(F.desc("missing_pct"), "column_name")
-        .limit(limit)
-    )
+def missing_rank(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Columns with missing values, worst first; at most ``limit`` if one is given."""
+    ranked = missing_rates(df).where("missing_pct > 0").orderBy(F.desc("missing_pct"), "column_name")
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def table_info(df: DataFrame) -> DataFrame:
@@ -66,7 +61,7 @@ def table_info(df: DataFrame) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Number of rows equal to an earlier row on every column."""
-    return count_copies(df, df.columns).select(F.col("copies").alias("duplicate_rows"))
+    return count_copies(df, ["`" + c.replace("`", "``") + "`" for c in df.columns]).select(F.col("copies").alias("duplicate_rows"))
 
 
 def duplicate_texts(df: DataFrame, text: str) -> DataFrame:
@@ -78,24 +73,20 @@ def duplicate_texts(df: DataFrame, text: str) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """(value, count, share) of the non-null values."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(_rows().alias("count"))
+    counts = df.where(named(column).isNotNull()).groupBy(named(column).alias("value")).agg(_rows().alias("count"))
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("share", F.col("count") / total)
 
 
 def top_values(df: DataFrame, column: str, limit: int = 20) -> DataFrame:
     """The most frequent values; equal counts in value order."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(_rows().alias("count"))
+    counts = df.where(named(column).isNotNull()).groupBy(named(column).alias("value")).agg(_rows().alias("count"))
     return counts.orderBy(F.desc("count"), "value").limit(limit)
 
 
-def shown_values(df: DataFrame, column: str, limit: int = 20, few: int = 50) -> DataFrame:
-    """``top_values`` of text columns, and of others only with fewer than ``few`` distinct values."""
-    top = top_values(df, column, limit)
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return top
-    distinct = df.agg(F.count_distinct(column)).scalar()
-    return top.where(distinct < few)
+def shown_values(df: DataFrame, column: str, limit: int = 20) -> DataFrame:
+    """``top_values`` of any column. Whether ``describe_numeric`` says more of a number is the caller's choice."""
+    return top_values(df, column, limit)
 
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -104,8 +95,8 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = [
         F.struct(
             F.lit(c).alias("column_name"),
-            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("num"),
-            F.col(c).cast("string").alias("value"),
+            (named(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("num"),
+            named(c).cast("string").alias("value"),
         )
         for c in columns
     ]
@@ -118,7 +109,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     The top value is the most frequent one, the smallest of those in a tie.
     """
     columns = list(columns or df.columns)
-    per_value = _long(df, columns).groupBy("column_name", "num", "value").agg(_rows().alias("n"))
+    per_value = _long(nan_as_null(df), columns).groupBy("column_name", "num", "value").agg(_rows().alias("n"))
     present = F.col("value").isNotNull()
     best = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), "num", "value")))
     kinds = F.create_map(*[F.lit(x) for c, t in df.dtypes if c in columns for x in (c, t)])
@@ -141,8 +132,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, std, min, 25 %, 50 %, 75 %, max, with exact quartiles."""
-    x = F.col(column)
-    q = quantiles(df, column, [0.25, 0.5, 0.75])
+    df = nan_as_null(df.select(named(column).alias("_x")))
+    x = F.col("_x")
+    q = quantiles(df, "_x", [0.25, 0.5, 0.75])
     quartiles = q.select(F.struct("q0", "q1", "q2")).scalar()
     return (
         df.agg(
@@ -193,44 +185,48 @@ def describe_all(df: DataFrame) -> DataFrame:
 
 
 def missing_correlation(
-    df: DataFrame, exclude: Sequence[str] = ("note_out_of_range", "note_incoherent"), limit: int = 40
+    df: DataFrame, exclude: Sequence[str] = ("note_out_of_range", "note_incoherent"), limit: int | None = None
 ) -> DataFrame:
-    """(col_a, col_b, corr): Pearson correlation of "is missing" between columns.
+    """(col_a, col_b, corr): Pearson correlation of "is missing" between columns that have missing values.
 
-    Rows reduce to their pattern of missing cells, counted map-side; pairs of
-    columns are then counted over the few distinct patterns, with whole numbers.
-    Only the ``limit`` columns with the most missing values take part.
+    Rows reduce to their pattern of missing cells, counted map-side; pairs of columns are then counted over the few
+    distinct patterns. With ``limit`` only the columns with the most missing values take part. NaN is missing.
     """
     columns = [c for c in df.columns if c not in exclude]
     p = len(columns)
+    df = nan_as_null(df.select(*[named(c) for c in columns]))
+    flags = [F.when(named(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns]
     # A last column that is missing everywhere makes its own count the row count.
-    bits = F.expr("concat(" + ", ".join(f"if(`{c}` is null, '1', '0')" for c in columns) + ", '1')")
-    patterns = df.select(bits.alias("bits")).groupBy("bits").agg(_rows().alias("n"))
+    patterns = df.select(F.concat(*flags, F.lit("1")).alias("bits")).groupBy("bits").agg(_rows().alias("n"))
     held = patterns.selectExpr("n", f"filter(sequence(0, {p}), i -> substr(bits, i + 1, 1) = '1') as m")
-    # The lists are never empty; a plain explode would test that on every row of the table.
-    counts = (
+    own = held.select("n", F.explode_outer("m").alias("a")).groupBy("a").agg(F.sum("n").alias("n"))
+    total = own.where(F.col("a") == p).agg(F.sum("n")).scalar()
+    own = own.where(F.col("a") < p)
+    if limit is not None:
+        own = own.orderBy(F.desc("n"), "a").limit(limit)
+        chosen = own.agg(F.collect_list("a")).scalar()  # `limit` numbers
+        held = held.withColumn("m", F.array_intersect("m", chosen))
+    # The lists are rarely empty; a plain explode would test that on every row.
+    both = (
         held.select("n", "m", F.explode_outer("m").alias("a"))
-        .selectExpr("n", "a", "explode_outer(filter(m, j -> j >= a)) as b")
+        .selectExpr("n", "a", "explode_outer(filter(m, j -> j > a)) as b")
+        .where(f"a < {p} and b < {p}")
         .groupBy("a", "b")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("joint"))
     )
-    # One entry per pair of columns, whatever the number of rows.
-    known = counts.agg(F.collect_list(F.struct("a", "b", "n")).alias("c")).selectExpr(
-        "map_from_entries(transform(c, e -> struct(e.a * 100000 + e.b as k, e.n as v))) as n",
-        "transform(slice(array_sort(transform(filter(c, e -> e.a = e.b and e.a < "
-        f"{p}), e -> struct(-e.n as c, e.a as i))), 1, {limit}), e -> e.i) as cols",
-    )
-    pairs = known.selectExpr("n", "cols", "explode(cols) as a").selectExpr(
-        "n", "a", "explode(filter(cols, j -> j > a)) as b"
-    )
-    own = lambda i: f"n[{i} * 100000 + {i}]"
-    spread = " * ".join(f"sqrt(double({own(p)} * {own(i)} - {own(i)} * {own(i)}))" for i in ("a", "b"))
-    joint = f"({own(p)} * coalesce(n[a * 100000 + b], 0) - {own('a')} * {own('b')})"
+    pairs = own.selectExpr("a", "n as na", f"explode(sequence(0, {p - 1})) as b").where("a < b").join(own.selectExpr("a as b", "n as nb"), "b")
+    # Products of counts pass the range of long integers beyond 3 billion rows.
+    n, na, nb = (F.col(c).cast("double") for c in ("total", "na", "nb"))
+    joint = F.coalesce("joint", F.lit(0)).cast("double")
     names = F.array(*[F.lit(c) for c in columns])
-    return pairs.select(
-        F.get(names, F.col("a")).alias("col_a"),
-        F.get(names, F.col("b")).alias("col_b"),
-        F.expr(f"try_divide(double({joint}), {spread})").alias("corr"),
+    return (
+        pairs.join(both, ["a", "b"], "left")
+        .withColumn("total", total)
+        .select(
+            F.get(names, F.col("a")).alias("col_a"),
+            F.get(names, F.col("b")).alias("col_b"),
+            F.try_divide(n * joint - na * nb, F.sqrt(n * na - na * na) * F.sqrt(n * nb - nb * nb)).alias("corr"),
+        )
     )
 
 
@@ -252,12 +248,23 @@ def issue_summary(ragged: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all if fewer), the same ones every time: the lowest seeded digests.
 
-    Counting rows by the first four digest digits finds where the n-th lies, so only
-    about n rows are sorted and not n per task.
+    Counting rows by the first digest digits, then by the next ones in the range where the n-th row lies, leaves about
+    n rows to sort at any table size, and not n per task.
     """
     marked = df.withColumn("_mark", F.md5(F.concat_ws(":", *keys, F.lit(seed))))
-    start = F.substring("_mark", 1, 4)
-    counts = marked.groupBy(start.alias("start")).agg(_rows().alias("rows"))
-    upto = counts.withColumn("upto", F.sum("rows").over(Window.orderBy("start")))
-    last = upto.agg(F.coalesce(F.min(F.when(F.col("upto") >= n, F.col("start"))), F.lit("ffff"))).scalar()
-    return marked.where(start <= last).orderBy("_mark", *keys).limit(n).drop("_mark")
+    found = _reach(marked, 4, n)
+    last, left = found.select("start").scalar(), found.select("left").scalar()
+    # "g" is above every digest: fewer than n rows in all.
+    within = _reach(marked.where(F.substring("_mark", 1, 4) == last), 8, left)
+    bound = F.when(last == "g", last).otherwise(within.select("start").scalar())
+    return marked.where(F.substring("_mark", 1, 8) <= bound).orderBy("_mark", *keys).limit(n).drop("_mark")
+
+
+def _reach(marked: DataFrame, digits: int, n: int | Column) -> DataFrame:
+    """(start, left): the digits where the n-th row lies, and which row it is there; at most 65,536 counts."""
+    wanted = F.lit(n) if isinstance(n, int) else n
+    counts = marked.groupBy(F.substring("_mark", 1, digits).alias("start")).agg(_rows().alias("rows"))
+    upto = counts.withColumn("upto", F.sum("rows").over(Window.orderBy("start"))).withColumn("wanted", wanted)
+    here = F.struct("start", (F.col("wanted") - F.col("upto") + F.col("rows")).cast("long").alias("left"))
+    none = F.struct(F.lit("g").alias("start"), F.lit(0).cast("long").alias("left"))
+    return upto.agg(F.coalesce(F.min(F.when(F.col("upto") >= F.col("wanted"), here)), none).alias("f")).select("f.*")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Rank error of the first, approximate look is 1/ACCURACY.
 ACCURACY = 10_000
 SLICES = 1000
+_MOST = 1.7976931348623157e308
 
 
 def _numbers(df: DataFrame, value: str) -> DataFrame:
@@ -21,12 +22,14 @@ def _numbers(df: DataFrame, value: str) -> DataFrame:
 def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """One row with a column ``q0``, ``q1``, … per probability, linearly interpolated, exact.
 
-    ``probabilities`` must ascend. Spark's exact ``percentile`` keeps every distinct
+    ``probabilities`` must ascend; 0 and 1 are the least and the greatest value. Infinite values take part: a result
+    between two values of which one is infinite is infinite, between both infinities NaN. Spark's exact ``percentile`` keeps every distinct
     value in one task. Here an approximate look brackets each wanted rank. Values
     between brackets are merely counted; only the values inside, about 8/accuracy of the
     table per probability, are ordered. Raises if a rank falls outside its bracket,
     so a result is always exact.
     """
+    every, probabilities = list(probabilities), [p for p in probabilities if 0 < p < 1]
     k = len(probabilities)
     spread = 4.0 / accuracy
     ends = [max(p - spread, 0.0) for p in probabilities] + [min(p + spread, 1.0) for p in probabilities]
@@ -41,7 +44,9 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], accurac
     few = f"n <= {accuracy}"
     low = [f"if({few} or {p <= spread}, least, ends[{i}])" for i, p in enumerate(probabilities)]
     high = [f"if({few} or {p >= 1 - spread}, most, ends[{k + i}])" for i, p in enumerate(probabilities)]
-    edges = look.selectExpr(f"struct(n, array({', '.join(low)}) as low, array({', '.join(high)}) as high) as e").scalar()
+    if not probabilities:
+        return look.selectExpr(*[f"{'least' if p <= 0 else 'most'} as q{i}" for i, p in enumerate(every)])
+    edges = look.selectExpr(f"struct(n, array({', '.join(low)}) as low, array({', '.join(high)}) as high, least, most) as e").scalar()
 
     # Bracket b of a value: how many brackets end below it. Null inside group = before bracket b.
     passed = " + ".join(f"int(x > e.high[{i}])" for i in range(k))
@@ -54,7 +59,10 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], accurac
         .where("b is not null")
     )
     # Each bracket is cut into SLICES ranges that are ordered apart; values before it are slice -1.
-    reach = "try_divide(x - get(e.low, b), get(e.high, b) - get(e.low, b))"
+    # Halves of values cut to the finite range: no difference overflows, and the order of slices stays.
+    half = lambda v: f"(least(greatest({v}, -{_MOST}D), {_MOST}D) / 2)"
+    low, high = half("get(e.low, b)"), half("get(e.high, b)")
+    reach = f"try_divide({half('x')} - {low}, {high} - {low})"
     sliced = counted.withColumn("e", edges).selectExpr(
         "b", "x", "n", f"if(x is null, -1, coalesce(int({reach} * {SLICES}), 0)) as s"
     )
@@ -82,17 +90,24 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], accurac
         answers.append(
             f"if(r{i} is not null and (missed{i} or a{i} is null or b{i} is null), "
             f"double(raise_error('a quantile fell outside its bracket')), "
-            f"a{i} + (b{i} - a{i}) * (r{i} - floor(r{i}))) as q{i}"
+            f"if(a{i} = b{i} or r{i} = floor(r{i}), a{i}, a{i} + (b{i} - a{i}) * (r{i} - floor(r{i})))) as q{i}"
         )
-    return placed.agg(*[F.expr(e) for e in found]).selectExpr(*answers)
+    done = placed.agg(*[F.expr(e) for e in found]).selectExpr(*answers).withColumn("e", edges)
+    inner = iter(range(k))
+    return done.selectExpr(
+        *[f"e.{'least' if p <= 0 else 'most'} as q{i}" if not 0 < p < 1 else f"q{next(inner)} as q{i}" for i, p in enumerate(every)]
+    )
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Counts in equal-width bins from least to greatest value; the last bin is closed.
 
-    Empty bins are present with 0. Equal extremes widen to half a unit on each side.
+    Empty bins are present with 0. Equal extremes widen to half a unit on each side. Bins are over the finite values;
+    infinite ones, if there are any, are counted in a bin -1 below and a bin ``bins`` above.
     """
-    numbers = _numbers(df, value)
+    everything = _numbers(df, value)
+    infinite = F.abs("x") == float("inf")
+    numbers = everything.where(~infinite)
     flat = F.min("x") == F.max("x")
     ends = numbers.agg(
         F.struct(
@@ -119,6 +134,18 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    beyond = (
+        everything.where(infinite)
+        .groupBy(F.when(F.col("x") < 0, -1).otherwise(bins).cast("long").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("count"))
+        .withColumn("e", ends)
+        .select(
+            "bin",
+            F.when(F.col("bin") < 0, float("-inf")).otherwise(F.col("e.high")).alias("low"),
+            F.when(F.col("bin") < 0, F.col("e.low")).otherwise(float("inf")).alias("high"),
+            "count",
+        )
+    )
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin").withColumn("e", ends)
     return (
         every.join(counted, "bin", "left")
@@ -128,4 +155,5 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
             F.when(F.col("bin") == bins - 1, F.col("e.high")).otherwise(edge(F.col("bin") + 1)).alias("high"),
             F.coalesce("_n", F.lit(0)).alias("count"),
         )
+        .unionByName(beyond)
     )

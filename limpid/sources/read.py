@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from limpid.functions.text import null_if
+from limpid.functions.names import named
+from limpid.functions.text import null_if, surplus_fields
 from limpid.plans.cleaning import FLAGS
 from limpid.plans.history import with_stage
 from limpid.rules import DEFAULT, MISSING_TOKENS, Rules
@@ -65,7 +67,7 @@ def read_cleaned_text(spark: SparkSession, path: str) -> DataFrame:
 def read_ragged(spark: SparkSession, path: str, rules: Rules = DEFAULT) -> DataFrame:
     """Headerless CSV onto the six fields plus EXTRA; short lines padded, header line dropped.
 
-    ``too_many_fields`` marks lines with more than seven fields.
+    ``too_many_fields`` marks lines with more than seven fields, and ``surplus`` keeps their rest.
     """
     names = [*rules.cols.fields, "EXTRA"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
@@ -76,24 +78,35 @@ def read_ragged(spark: SparkSession, path: str, rules: Rules = DEFAULT) -> DataF
         .option("columnNameOfCorruptRecord", "_line")
         .csv(path)
     )
-    too_many = F.size(F.split("_line", rules.delimiter)) > len(names)
+    surplus = surplus_fields(F.col("_line"), rules.delimiter, len(names))
     return rows.where(~F.col(names[0]).eqNullSafe(names[0])).select(
         *[null_if(F.col(n), MISSING_TOKENS).alias(n) for n in names],
-        F.coalesce(too_many, F.lit(False)).alias("too_many_fields"),
+        surplus.isNotNull().alias("too_many_fields"),
+        surplus.alias("surplus"),
     )
 
 
 def read_csv_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All ``*.csv`` files below ``path`` as one table; missing-value tokens become null."""
+    """All ``*.csv`` files below ``path`` as one table; missing-value tokens become null.
+
+    Columns are bound by the names in each file's header: files may order them differently, lack some (null) or have
+    others, which are left out. Files are grouped by header, of which there are few, and each group is one scan.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
+    found = lambda reader: reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    lines = found(spark.read).text(path).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
     )
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    rows = spark.createDataFrame([], schema)
+    for group in sorted(groups, key=lambda g: g["header"]):
+        order = next(csv.reader([group["header"].removeprefix("\ufeff")]))
+        kinds = {f.name: f.dataType for f in schema.fields}
+        own = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in order])
+        part = spark.read.schema(own).option("header", True).csv(sorted(group["files"]))
+        rows = rows.unionByName(part.select(*[named(n) for n in order if n in kinds]), allowMissingColumns=True)
     text = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
     return rows.select(
         *[null_if(F.col(c), MISSING_TOKENS).alias(c) if c in text else F.col(c) for c in rows.columns]
@@ -108,18 +121,39 @@ def _parts(spark: SparkSession, path: str):
 
 
 def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet part files; unreadable ones are skipped. See ``skipped_parts``."""
+    """Parquet part files; a file that can't be read to its end is left out whole. See ``skipped_parts``."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    file = F.col("_metadata.file_path").alias("_file")
+    rows = _readable(spark, path, schema).select("*", file)
+    whole = _whole_files(spark, path, schema).select("_file")
+    return rows.join(whole, "_file", "left_semi").drop("_file")
+
+
+def _readable(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return _parts(spark, path).option("ignoreCorruptFiles", True).schema(schema).parquet(path)
 
 
+def _whole_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(_file) of the part files whose every column gives as many rows as their footer counts.
+
+    The reader stops within a damaged file and keeps what it had. Counting without a column looks at footers only.
+    """
+    file = F.col("_metadata.file_path").alias("_file")
+    rows = _readable(spark, path, schema)
+    stated = rows.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("stated"))
+    touched = F.hash(*[named(f.name) for f in schema.fields])
+    read = rows.select(file, touched.alias("h")).groupBy("_file").agg(F.count(F.lit(1)).alias("read"), F.bit_xor("h").alias("seen"))
+    # Asking for the digest keeps Spark from pruning the columns, which have to be read.
+    return stated.join(read, "_file").where((F.col("stated") == F.col("read")) & F.col("seen").isNotNull()).select("_file")
+
+
 def skipped_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(path, bytes) of part files that gave no row: the unreadable ones, and any that are empty tables."""
+    """(path, bytes) of part files that are left out: damaged anywhere, and any that are empty tables."""
     name = F.col("_metadata.file_path").alias("path")
     # Listing only: without the content column no file is opened.
     listed = _parts(spark, path).format("binaryFile").load(path).select(name, F.col("length").alias("bytes"))
-    read = read_parts(spark, path, schema).select(name).distinct()
+    read = _whole_files(spark, path, schema).select(F.col("_file").alias("path"))
     return listed.join(read, "path", "left_anti")
 
 

@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 def write_parquet(df: DataFrame, path: str, legacy: bool = False, codec: str = "snappy") -> int:
     """Replace ``path`` with the rows of ``df``; returns how many there were.
 
-    ``legacy`` writes the older Parquet layout some readers need.
+    ``legacy`` writes the older Parquet layout some readers need. Spark knows that layout only as a setting of the
+    session, which changes for the time of such a write; other writes leave the session alone.
     """
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if not legacy:
+        counted.write.mode("overwrite").option("compression", codec).parquet(path)
+        return seen.get["rows"]
     setting = "spark.sql.parquet.writeLegacyFormat"
     spark = df.sparkSession
     before = spark.conf.get(setting)
-    spark.conf.set(setting, str(legacy).lower())
+    spark.conf.set(setting, "true")
     try:
         counted.write.mode("overwrite").option("compression", codec).parquet(path)
     finally:

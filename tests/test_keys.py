@@ -115,3 +115,11 @@ def test_pair_rule_three_ways(records):
     marked = pairs.mark_pairs(df, lonely, "bad")
     _same(marked, pairs.flag_second_without_first(df, "bad"))
     assert {r.line_no for r in marked.where("bad").collect()} == {2, 3, 4, 7, 8}
+
+
+def test_row_numbers_of_a_hot_key_with_sparse_order(spark):
+    df = spark.range(3000).select(F.lit("hot").alias("k"), (F.col("id") * 10_000_000 + 2**54).alias("o"))
+    from limpid.operators import keys
+
+    got = keys.with_row_number(df, ["k"], "o", block=100)
+    assert [r.row_number for r in got.orderBy("o").collect()] == list(range(1, 3001))

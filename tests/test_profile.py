@@ -116,9 +116,9 @@ def test_duplicate_rows(mixed, spark):
     assert profile.duplicate_texts(texts, "t").first()[0] == 2
 
 
-def test_shown_values_hides_numeric_columns_with_many_values(spark):
+def test_shown_values_of_numeric_columns_with_many_values(spark):
     many = spark.range(60).select(F.col("id").cast("int").alias("i"), F.col("id").cast("string").alias("s"))
-    assert profile.shown_values(many, "i").count() == 0
+    assert profile.shown_values(many, "i").count() == 20
     assert profile.shown_values(many, "s").count() == 20
 
 
