@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from limpid.sources.shared import new_folder
 
 END = 2
-BLOCK = 2048
+BLOCK = 1024
 LANES = 2048
 MAGIC = b"TIB1"
 _S1, _S2 = 1 << 9, 1 << 11
