@@ -640,3 +640,37 @@ add(
         "c.g as global_score, round(c.g - r.g, 6) as global_delta, c.d as distribution, round(c.d - r.d, 6) as distribution_delta from r, c"
     ),
 )
+
+
+# --- rows that plain tables don't have ----------------------------------------------------
+
+_ODD_PRICE = "o_orderkey, case when o_orderkey % 50 = 0 then double('inf') when o_orderkey % 50 = 1 then double('-inf') when o_orderkey % 7 = 3 then double('nan') else o_totalprice end as price"
+
+
+def _odd_prices(spark, sf_dir):
+    """Order prices with infinite and undefined ones among them."""
+    return fr.table(spark, sf_dir, "orders").selectExpr(*[e.strip() for e in _ODD_PRICE.split(", ", 1)])
+
+
+_ODD_SQL = (
+    "with odd as (select o_orderkey, case when o_orderkey % 50 = 0 then 'inf'::double when o_orderkey % 50 = 1 then '-inf'::double "
+    "when o_orderkey % 7 = 3 then null else o_totalprice end as price from orders) "
+)
+add(
+    "quantiles_infinite",
+    lambda s, d: six(quantiles.quantiles(_odd_prices(s, d), "price", [0, 0.25, 0.5, 0.75, 1])),
+    _ODD_SQL + "select min(price) as q0, round(quantile_cont(price, 0.25), 6) as q1, round(quantile_cont(price, 0.5), 6) as q2, "
+    "round(quantile_cont(price, 0.75), 6) as q3, max(price) as q4 from odd",
+)
+add(
+    "missing_counts_nan",
+    lambda s, d: profile.missing_counts(_odd_prices(s, d)),
+    _ODD_SQL + "select 'o_orderkey' as column_name, count(*) as rows, count(*) - count(o_orderkey) as missing from odd "
+    "union all select 'price', count(*), count(*) - count(price) from odd",
+)
+add(
+    "histogram_infinite",
+    lambda s, d: quantiles.histogram(_odd_prices(s, d), "price", 10).where("bin in (-1, 10)").select("bin", "count"),
+    _ODD_SQL + "select cast(-1 as bigint) as bin, count(*) as count from odd where price = '-inf'::double "
+    "union all select cast(10 as bigint), count(*) from odd where price = 'inf'::double",
+)
