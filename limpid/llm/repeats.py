@@ -227,7 +227,8 @@ def remove_repeats(
     def strips(which: str) -> DataFrame:
         own = stored_wanted.select("doc_id", "mark", F.filter("runs", lambda r: r["hot"] if which == "hot" else ~r["hot"]).alias("runs")).filter("size(runs) > 0")
         joined = rows.join(own, nullsafe(rows, own)).select(rows["doc_id"], rows["mark"], "text", "runs")
-        return cut_strips(joined.dropDuplicates(owner), window)
+        # Repeated rows cut the same strips twice. That is harmless: a lone run's row is never repeated.
+        return cut_strips(joined, window)
 
     stored_wanted = stored(wanted, "wanted")
     ranges = settled.unionByName(refine_in_tasks(strips("small").repartition("bucket"), window))
