@@ -95,21 +95,23 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
     Rows without doc_id have no next document: nothing is replaced and near_next is null.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    near = neighbours(rows.select("doc_id", "n_chars"))
-    # The text is shuffled once, by doc_id, with its tree; the next document sends only what is used of it.
-    placed = rows.withColumn("tree", tree(F.col("text"))).join(near, "doc_id", "left")
-    sent = placed.filter("prev_id IS NOT NULL").select(
+    known = rows.filter("doc_id IS NOT NULL")
+    near = neighbours(known.select("doc_id", F.length("text").cast("long").alias("n_chars")))
+    # The text is shuffled once, by doc_id, for both uses; the next document sends only what is used of it.
+    placed = known.join(near, "doc_id")
+    sent = placed.withColumn("tree", tree(F.col("text"))).select(
         F.col("prev_id").alias("to"),
         F.struct(
             F.expr("substring(text, 1, cast(prev_chars div 4 AS int))").alias("head"), F.col("tree.root").alias("root"), F.col("tree.phrases").alias("phrases")
         ).alias("next"),
     )
     sent = sent.groupBy("to").agg(F.min("next").alias("next"))
-    both = placed.drop("prev_id", "prev_chars").join(sent, F.col("doc_id") == F.col("to"), "left")
+    both = placed.select("doc_id", "text").join(sent, F.col("doc_id") == F.col("to")).select("doc_id", "text", "next")
+    alone = rows.filter("doc_id IS NULL").withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
+    both = both.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.when(F.col("next").isNull(), F.lit(0)).otherwise(F.expr("n_chars div 4")).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), F.col("n_chars").cast("int") - cut), F.coalesce(F.col("next.head").substr(F.lit(1), cut), F.lit("")))
-    done = both.select("doc_id", "n_chars", "tree", "next", edited.alias("edited")).withColumn("edited_tree", tree(F.col("edited")))
+    done = both.select("doc_id", "n_chars", tree(F.col("text")).alias("tree"), "next", edited.alias("edited")).withColumn("edited_tree", tree(F.col("edited")))
     mine, other = F.col("tree"), F.col("edited_tree")
     return done.select(
         "doc_id",
