@@ -6,7 +6,8 @@ with one entry end there. The others are refined by the identifiers of longer st
 first of whole runs (equal runs settle all their windows at once, and later steps reuse that), then of single windows,
 only in buckets where some run stayed alone, and with one representative of equal runs.
 
-A row stands for itself: rows with the same doc_id and text are copies of each other. Null text counts as empty; doc_id
+A row stands for itself: rows with the same doc_id and text are copies of each other; a digest of 128 bits stands for the
+text. Null text counts as empty; doc_id
 may be null or repeated. Texts shorter than a window lose nothing.
 """
 
@@ -88,7 +89,7 @@ def find_runs(rows: DataFrame, window: int, gram: int) -> DataFrame:
                     ["doc_id", "mark", "lo", "n", "bucket", "run"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, mark int, lo int, n int, bucket long, run long")
+    return rows.mapInArrow(run, "doc_id long, mark binary, lo int, n int, bucket long, run long")
 
 
 def cut_strips(wanted: DataFrame, window: int) -> DataFrame:
@@ -108,7 +109,7 @@ def cut_strips(wanted: DataFrame, window: int) -> DataFrame:
                     names,
                 )
 
-    return wanted.mapInArrow(run, "doc_id long, mark int, lo int, bucket long, alone boolean, strip binary")
+    return wanted.mapInArrow(run, "doc_id long, mark binary, lo int, bucket long, alone boolean, strip binary")
 
 
 def _windows(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -134,7 +135,7 @@ def _found(batch: pa.RecordBatch, row: np.ndarray, place: np.ndarray, window: in
     )
 
 
-_RANGES = "doc_id long, mark int, start int, stop int"
+_RANGES = "doc_id long, mark binary, start int, stop int"
 
 
 def refine_in_tasks(strips: DataFrame, window: int) -> DataFrame:
@@ -187,7 +188,7 @@ def refine_by_count(strips: DataFrame, window: int) -> DataFrame:
                     ["doc_id", "mark", "bucket", "alone", "start", "name"],
                 )
 
-    windows = strips.mapInArrow(run, "doc_id long, mark int, bucket long, alone boolean, start int, name long")
+    windows = strips.mapInArrow(run, "doc_id long, mark binary, bucket long, alone boolean, start int, name long")
     twice = windows.groupBy("bucket", "name").agg(F.count("*").alias("c")).filter("c > 1").select("bucket", "name")
     hit = windows.filter("alone").join(twice, ["bucket", "name"])
     return hit.select("doc_id", "mark", "start", (F.col("start") + window).cast("int").alias("stop"))
@@ -207,7 +208,7 @@ def remove_repeats(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
         *([F.struct(*carry).alias("carry")] if carry else []),
-    ).withColumn("mark", F.hash("text"))
+    ).withColumn("mark", F.unhex(F.md5("text")))
     owner = ["doc_id", "mark"]
     found = find_runs(rows.filter(F.octet_length("text") >= window), window, gram)
     shared = found.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
@@ -234,7 +235,8 @@ def remove_repeats(
     ranges = settled.unionByName(refine_in_tasks(strips("small").repartition("bucket"), window))
     if not sizes.filter(F.col("runs_in") > hot).isEmpty():
         ranges = ranges.unionByName(refine_by_count(stored(strips("hot"), "strips"), window))
-    ranges = ranges.groupBy(*owner).agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    # Copies of a row settle the same ranges; a set holds them once.
+    ranges = ranges.groupBy(*owner).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names_out = [*carry, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * keep_text

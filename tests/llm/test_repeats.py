@@ -53,3 +53,30 @@ def test_empty_table_missing_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), r.n_removed, r.kept_text) for r in got.collect()) == sorted(
         [("None", len(long), ""), ("4", len(long), ""), ("4", len(long), ""), ("4", 0, "z" * 150), ("None", 0, "")]
     )
+
+
+def test_texts_of_one_short_hash_without_ids(spark):
+    # Two clean texts with the same F.hash; the second shares a passage with a third one.
+    passage = " ".join(str(i) for i in range(100))
+    first, second = (f"{passage_or_own} {n}" for passage_or_own, n in _same_short_hash(spark, passage))
+    third = "third " + passage
+    got = remove_repeats(spark.createDataFrame([(None, t) for t in (first, second, third)], "doc_id long, text string"), keep_text=True)
+    want = brute([first, second, third], 200)
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == sorted(want)
+
+
+def _same_short_hash(spark, passage):
+    """(text, number) of a text without the passage and one with it whose 32-bit hashes are equal."""
+    from pyspark.sql import functions as F
+
+    n = spark.range(400_000)
+    own = " ".join(str(i) for i in range(500, 600))
+    a, b = (n.select(F.col("id").alias(c), F.hash(F.concat(F.lit(t + " "), F.col("id").cast("string"))).alias("h")) for c, t in (("a", own), ("b", passage)))
+    pair = a.join(b, "h").orderBy("a", "b").first()
+    return [(own, pair["a"]), (passage, pair["b"])]
+
+
+def test_copies_of_a_row_hold_their_ranges_once(spark):
+    long = " ".join(str(i) for i in range(200))
+    got = remove_repeats(spark.createDataFrame([(4, long)] * 20 + [(5, "x " + long)], "doc_id long, text string"))
+    assert rows(got) == brute([long] * 20 + ["x " + long], 200)
