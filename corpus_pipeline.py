@@ -43,7 +43,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    flagged = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("_leak"))
+    flagged = decontaminate(docs, table(spark, sf_dir, "benchmark"), short=True).filter("contaminated").select(F.col("doc_id").alias("_leak"))
     return docs.join(flagged, docs["doc_id"].eqNullSafe(flagged["_leak"]), "left_anti")
 
 

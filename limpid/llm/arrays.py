@@ -127,6 +127,33 @@ def words_of(s: Slice, inside: np.ndarray, seed: int = 0) -> Words:
     return Words(start, end, h, np.searchsorted(start, s.offsets))
 
 
+@cache
+def _scripts_without_blanks() -> np.ndarray:
+    """For the first two bytes of a UTF-8 character of three, whether it is of a script that sets no blanks between words."""
+    alone = np.zeros(1 << 16, bool)
+    # Thai and Lao, Tibetan, Myanmar, Khmer, kana to ideographs, Yi, ideographs and forms for compatibility, full width.
+    for lo, hi in ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xA000, 0xA4CF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF)):
+        a, b = (int.from_bytes(chr(c).encode()[:2], "big") for c in (lo, hi))
+        alone[a : b + 1] = True
+    return alone
+
+
+def words_and_characters(s: Slice, inside: np.ndarray, seed: int = 0) -> Words:
+    """As words_of, but each character of a script without blanks is a word of its own."""
+    offsets = s.offsets
+    if (s.data >= 0xE0).any():
+        lead = np.flatnonzero(s.data >= 0xE0)
+        lead = lead[lead + 2 < s.data.size]
+        pair = s.data[lead].astype(np.int64) << 8 | s.data[lead + 1]
+        wide = (s.data[lead] == 0xF0) & (s.data[lead + 1] >= 0xA0)  # ideographs beyond 16 bits
+        alone = _scripts_without_blanks()[pair] & (s.data[lead] < 0xF0)
+        cuts = [lead[wide], lead[wide] + 4, lead[alone], lead[alone] + 3]
+        offsets = np.concatenate([offsets, *cuts])
+    start, end = _edges(inside[s.data], offsets)
+    h = Rolling(s.data, seed, fold=True)(start, end)
+    return Words(start, end, h, np.searchsorted(start, s.offsets))
+
+
 @cache
 def not_space() -> np.ndarray:
     """Bytes of words between ASCII white space."""

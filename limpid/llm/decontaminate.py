@@ -1,17 +1,20 @@
 """Finds benchmark items in documents by greedy string tiling over words.
 
-Words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII. A document and an item that share a seed, five words in a row,
+Words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII; in scripts that set no blanks, such as Chinese, Japanese
+and Thai, each character is a word. A document and an item that share a seed, five words in a row,
 are tiled: the longest match of unmarked words is marked on both sides, again and again down to five words, so a
 passage cut up and put into another order still counts. An item is leaked if the tiles cover enough of its words.
 
-Null and empty texts hold nothing. Items of fewer than five words can't be told from common phrases and match
-nothing. Documents that share a doc_id, null included, are judged together and get one answer each; an item of several
-rows matches by any of them. Of items with equal coverage the least item_id is named. Extra columns don't matter.
+Null and empty texts hold nothing. Items of fewer than five words can't be told from common phrases: with short, a
+document that holds all their words in a row matches, without it nothing does. Documents that share a doc_id, null
+included, are judged together and get one answer each; an item of several rows matches by any of them. Rows without
+item_id are an item each (equal words: one) and are matched and counted as all others. Of items with equal coverage the
+least item_id is named. Extra columns don't matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -19,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.arrays import U64, alphanumeric, grams, long_array, owner, text_slices, words_of
+from limpid.llm.arrays import U64, alphanumeric, grams, owner, text_slices, words_and_characters
+from limpid.llm.rows import row_key
 from limpid.llm.storage import stored
 
 SEED = 5
@@ -64,35 +68,52 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> list[tuple[in
     return out
 
 
-def _items(benchmark: DataFrame, seed: int) -> DataFrame:
-    """item_id, words, seeds of each row that has a seed."""
-    return _words(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id", seed, None)
+def _items(benchmark: DataFrame, seed: int, short: bool) -> DataFrame:
+    """item (a number of its own), item_id, words, seeds of each different row that has a seed; with short, all words of a shorter one."""
+    lengths = range(1, seed + 1) if short else [seed]
+    rows = _words(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), {"item_id": "long"}, seed, lengths, None, whole=True)
+    return rows.dropDuplicates(["item_id", "words"]).withColumn("item", F.monotonically_increasing_id())
 
 
-def _words(rows: DataFrame, key: str, seed: int, known) -> DataFrame:
-    """key, words, seeds of the rows with a seed; with known (a broadcast sorted array), only seeds in it."""
+def _words(rows: DataFrame, keys: dict[str, str], seed: int, lengths: Iterable[int], known, whole: bool = False) -> DataFrame:
+    """keys (name: type), words, seeds of the rows with a seed of one of the lengths.
+
+    With known (a broadcast sorted array), only seeds in it; with whole, those of fewer than `seed` words only if they are the whole text.
+    """
+    lengths = list(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in text_slices(batch.column("text")):
-                w = words_of(s, alphanumeric())
-                g = grams(w.hash, seed)
+                w = words_and_characters(s, alphanumeric())
                 text = owner(w.first, w.hash.size)
-                ok = text[seed - 1 :] == text[: g.size]
-                if known is not None:
-                    at = np.searchsorted(known.value, g)
-                    at[at == known.value.size] = 0
-                    ok &= known.value[at] == g
-                place = np.flatnonzero(ok)
-                which = np.unique(text[place])
-                seeds = [np.unique(g[place[a:b]]).view(np.int64) for a, b in _groups(text[place])]
+                size = np.diff(w.first)
+                owners, found = [], []
+                for k in lengths:
+                    g = grams(w.hash, k)
+                    own = text[: g.size]
+                    ok = text[k - 1 :] == own
+                    if whole and k < seed:
+                        ok &= size[own] == k
+                    if known is not None:
+                        at = np.searchsorted(known.value, g)
+                        at[at == known.value.size] = 0
+                        ok &= known.value[at] == g
+                    owners.append(own[ok])
+                    found.append(g[ok])
+                own, found = np.concatenate(owners), np.concatenate(found)
+                order = np.argsort(own, kind="stable")
+                own, found = own[order], found[order]
+                which = np.unique(own)
+                taken = pa.array(which + s.first)
+                seeds = [np.unique(found[a:b]).view(np.int64) for a, b in _groups(own)]
                 words = [w.hash[w.first[k] : w.first[k + 1]].view(np.int64) for k in which.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(key).take(pa.array(which + s.first)), pa.array(words, pa.list_(pa.int64())), pa.array(seeds, pa.list_(pa.int64()))],
-                    [key, "words", "seeds"],
+                    [*(batch.column(c).take(taken) for c in keys), pa.array(words, pa.list_(pa.int64())), pa.array(seeds, pa.list_(pa.int64()))],
+                    [*keys, "words", "seeds"],
                 )
 
-    return rows.mapInArrow(run, f"{key} long, words array<long>, seeds array<long>")
+    return rows.mapInArrow(run, "".join(f"{c} {t}, " for c, t in keys.items()) + "words array<long>, seeds array<long>")
 
 
 def _groups(sorted_numbers: np.ndarray) -> list[tuple[int, int]]:
@@ -100,32 +121,37 @@ def _groups(sorted_numbers: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, most_seeds: int = MOST_SEEDS) -> DataFrame:
-    """doc_id, item_id, coverage of each document and item that share a seed and reach the coverage."""
-    items = stored(_items(benchmark, seed), "items")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, most_seeds: int = MOST_SEEDS, short: bool = False) -> DataFrame:
+    """doc_id, row (its key), item, item_id, coverage of each document and item that share a seed and reach the coverage."""
+    items = stored(_items(benchmark, seed, short), "items")
+    lengths = [seed]
+    if short:
+        lengths += [r["n"] for r in items.select(F.size("words").alias("n")).filter(F.col("n") < seed).distinct().collect()]  # under seed
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text")
     seeds = items.select(F.explode("seeds").alias("seed")).distinct()
     known = None
     count = seeds.count()
     if 0 < count <= most_seeds:
         known = docs.sparkSession.sparkContext.broadcast(np.sort(seeds.toArrow().column("seed").to_numpy().view(U64)))
-    found = stored(_words(rows, "doc_id", seed, known).withColumn("row", F.xxhash64("doc_id", "words")), "seeded")
-    shared = found.select("doc_id", "row", F.explode("seeds").alias("seed")).join(items.select("item_id", F.explode("seeds").alias("seed")), "seed")
-    pairs = shared.select("row", "item_id").distinct()
+    found = stored(_words(rows, {"doc_id": "long", "row": "binary"}, seed, lengths, known), "seeded")
+    shared = found.select("doc_id", "row", F.explode("seeds").alias("seed")).join(items.select("item", F.explode("seeds").alias("seed")), "seed")
+    pairs = shared.select("row", "item").distinct()
+
+    names = ["doc_id", "row", "item", "item_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for d, i in zip(batch.column("words"), batch.column("item_words"), strict=True):
                 item = i.values.to_numpy().view(U64)
-                out.append(sum(t[2] for t in tiles(d.values.to_numpy().view(U64), item, seed)) / item.size)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), pa.array(out, pa.float64())], ["doc_id", "item_id", "coverage"])
+                out.append(sum(t[2] for t in tiles(d.values.to_numpy().view(U64), item, min(seed, item.size))) / item.size)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.float64())], [*names, "coverage"])
 
     tiled = (
-        pairs.join(items.select("item_id", F.col("words").alias("item_words")), "item_id")
+        pairs.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
         .join(found.select("row", "doc_id", "words").dropDuplicates(["row"]), "row")
-        .select("doc_id", "item_id", "words", "item_words")
-        .mapInArrow(run, "doc_id long, item_id long, coverage double")
+        .select(*names, "words", "item_words")
+        .mapInArrow(run, "doc_id long, row binary, item long, item_id long, coverage double")
     )
     return tiled.filter(F.col("coverage") >= coverage)
 
@@ -136,7 +162,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
         leaks(docs, benchmark, **options)
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(
-            F.count_distinct("item_id").alias("n_items"),
+            (F.count_distinct("item_id") + F.count_distinct(F.when(F.col("item_id").isNull(), F.col("item")))).alias("n_items"),
             F.max_by(F.struct("item_id", "coverage"), F.struct("coverage", -F.col("item_id"))).alias("best"),
         )
     )

@@ -69,3 +69,13 @@ def test_reordered_passages_and_edges(spark, documents, most):
     assert decontaminate(documents([]), bench).collect() == []
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in decontaminate(documents(texts), none).collect())
+
+
+def test_items_without_id_short_items_and_scripts_without_blanks(spark, documents):
+    item = " ".join(f"w{k}" for k in range(20))
+    texts = [f"a {item} b", "so Yes, no maybe said", "yes maybe no", "前文。今天天气很好我们去公园散步。后文", "今天很好", "ก่อน สวัสดีครับผม หลัง", "w1 w2 w3"]
+    bench = spark.createDataFrame(
+        [(None, item), (None, item), (None, "yes no maybe"), (7, "今天天气很好我们去公园散步"), (8, "สวัสดีครับผม"), (9, "𠀀𠀁"), (10, "w1 w2 w3 w4")], "item_id long, text string"
+    )
+    got = {r.doc_id: (r.contaminated, r.n_items, r.item_id) for r in decontaminate(documents([*texts, "x𠀀𠀁y"]), bench, short=True).collect()}
+    assert got == {0: (True, 2, 10), 1: (True, 1, None), 2: (False, 0, None), 3: (True, 1, 7), 4: (False, 0, None), 5: (True, 1, 8), 6: (False, 0, None), 7: (True, 1, 9)}
