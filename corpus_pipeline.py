@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limpid.llm.bpe import encode_documents
-from limpid.llm.decontaminate import decontaminate
+from limpid.llm.decontaminate import leaks
 from limpid.llm.language import identify, train
 from limpid.llm.near_dedup import near_duplicates
 from limpid.llm.queries import learned_from, rank_file, table
 from limpid.llm.repeats import remove_repeats
+from limpid.llm.rows import row_key
 from limpid.llm.storage import stored
 
 
@@ -25,9 +26,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the least doc_id; rows without doc_id stay."""
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    """Keeps of each group of near duplicates the row with the least doc_id; rows without doc_id stay.
+
+    Rows that share a doc_id are judged one by one: each different one gets a number of its own, checked to be unique.
+    """
+    marked = docs.filter("doc_id IS NOT NULL").withColumn("_row", row_key())
+    for salt in range(8):
+        number = F.xxhash64(F.lit(salt), "_row")
+        if marked.select("_row", number.alias("n")).groupBy("n").agg(F.min("_row").alias("lo"), F.max("_row").alias("hi")).filter("lo != hi").isEmpty():
+            break
+    else:
+        raise ValueError("no numbering tells all rows apart")
+    found = near_duplicates(marked.select("_row", F.col("doc_id").alias("_doc"), number.alias("doc_id"), "text"), carry=("_row", "_doc"))
+    kept = found.groupBy("component_id").agg(F.min(F.struct("_doc", "_row")).alias("one")).select(F.col("one._row").alias("_kept"))
+    chosen = marked.join(kept, marked["_row"] == kept["_kept"], "left_semi").dropDuplicates(["_row"]).drop("_row")
     return chosen.unionByName(docs.filter("doc_id IS NULL"))
 
 
@@ -42,9 +54,9 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    flagged = decontaminate(docs, table(spark, sf_dir, "benchmark"), short=True).filter("contaminated").select(F.col("doc_id").alias("_leak"))
-    return docs.join(flagged, docs["doc_id"].eqNullSafe(flagged["_leak"]), "left_anti")
+    """Drops the rows that hold a benchmark item, not others of the same doc_id or without one."""
+    flagged = leaks(docs, table(spark, sf_dir, "benchmark"), short=True).select(F.col("row").alias("_leak")).distinct()
+    return docs.withColumn("_row", row_key()).join(flagged, F.col("_row") == F.col("_leak"), "left_anti").drop("_row")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

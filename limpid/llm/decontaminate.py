@@ -6,8 +6,8 @@ are tiled: the longest match of unmarked words is marked on both sides, again an
 passage cut up and put into another order still counts. An item is leaked if the tiles cover enough of its words.
 
 Null and empty texts hold nothing. Items of fewer than five words can't be told from common phrases: with short, a
-document that holds all their words in a row matches, without it nothing does. Documents that share a doc_id, null
-included, are judged together and get one answer each; an item of several rows matches by any of them. Rows without
+document that holds all their words in a row matches, without it nothing does. Each row is judged on its own, also if
+its doc_id is missing or repeated; copies get equal answers. An item of several rows matches by any of them. Rows without
 item_id are an item each (equal words: one) and are matched and counted as all others. Of items with equal coverage the
 least item_id is named. Extra columns don't matter.
 """
@@ -158,16 +158,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: flo
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """doc_id, contaminated, n_items, item_id, coverage of every row; the last two are of the best covered item, or null."""
-    per_doc = (
+    per_row = (
         leaks(docs, benchmark, **options)
-        .groupBy(F.col("doc_id").alias("_id"))
+        .groupBy("row")
         .agg(
             (F.count_distinct("item_id") + F.count_distinct(F.when(F.col("item_id").isNull(), F.col("item")))).alias("n_items"),
             F.max_by(F.struct("item_id", "coverage"), F.struct("coverage", -F.col("item_id"))).alias("best"),
         )
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    return rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"))
+    return rows.join(per_row, "row", "left").select(
         "doc_id",
         F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),

@@ -66,8 +66,8 @@ def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
         yield from shingles(words_of(s, not_space()), width)
 
 
-def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, key1, key2 (of the whole set, 128 bits) and bands (null if the set is empty)."""
+def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, key1, key2 (of the whole set, 128 bits), bands (null if the set is empty) and the columns in carry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,12 +80,13 @@ def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: i
                     found.append(band_keys(x, bands, rows).view(np.int64) if x.size else None)
                 keys = np.array(keys, U64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), long_array(keys[:, 0]), long_array(keys[:, 1]), pa.array(found, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "key1", "key2", "bands"],
+                    [part.column("doc_id"), pa.array(n, pa.int64()), long_array(keys[:, 0]), long_array(keys[:, 1]), pa.array(found, pa.list_(pa.int64())), *(part.column(c) for c in carry)],
+                    ["doc_id", "n_shingles", "key1", "key2", "bands", *carry],
                 )
 
-    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows_in.mapInArrow(run, "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>")
+    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return rows_in.mapInArrow(run, f"doc_id long, n_shingles long, key1 long, key2 long, bands array<long>{kinds}")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -140,16 +141,16 @@ def rare_pairs(mixed: DataFrame, texts: DataFrame, percent: int = PERCENT, width
 
 
 def near_duplicates(
-    docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, width: int = WIDTH, rounds: int = ROUNDS
+    docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, width: int = WIDTH, rounds: int = ROUNDS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
+    """doc_id, n_shingles, component_id, kept of every row, and the columns of docs in carry.
 
     Equal sets are one class, represented by its least doc_id. In each bucket of each band the members are paired with
     one hub only, and confirmed on the full sets; a later round takes members that are not yet in the hub's component.
     Members of one bucket that are in different components after the rounds are compared through their rarest shingles,
     so no link is lost to the stars, while a group of similar texts never makes all its pairs.
     """
-    found = stored(fingerprints(docs, bands, rows, width), "fingerprints")
+    found = stored(fingerprints(docs, bands, rows, width, carry), "fingerprints")
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("key1", "key2").agg(F.min("doc_id").alias("id"))
     buckets = usable.select("doc_id", F.explode("bands").alias("bucket"))
@@ -187,4 +188,4 @@ def near_duplicates(
     else:
         out = out.withColumn("component", F.lit(None).cast("long"))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *carry)

@@ -50,3 +50,20 @@ def test_empty_and_odd_rows(spark, documents):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, DATA)
         docs.collect()
+
+
+def test_rows_without_or_with_one_doc_id_go_one_by_one(spark):
+    item = table(spark, DATA, "benchmark").orderBy("item_id").first()["text"]
+    clean = ["one clean text about boats and the sea today", "another text on hills", None]
+    rows = [(None, t) for t in (*clean, "leak: " + item)] + [(5, clean[0]), (5, "leak: " + item)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.decontamination(spark, docs, DATA).collect()), key=str)
+    assert got == sorted([(None, t) for t in clean] + [(5, clean[0])], key=str)
+
+
+def test_texts_of_one_doc_id_all_stay_unless_they_repeat(spark):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(40)) for p in "abc")
+    rows = [(5, a), (5, a), (5, a.upper()), (5, b), (3, b), (3, c), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text.lower()) for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()), key=str)
+    assert got == sorted([(None, a), (None, a), (3, b), (3, c), (5, a)], key=str)
