@@ -61,6 +61,11 @@ def band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
+def set_keys(found: np.ndarray) -> tuple[int, int]:
+    """128 bits of a whole set."""
+    return int(mix(found ^ U64(1)).sum(dtype=U64)), int(mix(found ^ GOLDEN).sum(dtype=U64))
+
+
 def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     for s in text_slices(column):
         yield from shingles(words_of(s, not_space()), width)
@@ -76,7 +81,7 @@ def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: i
                 n, keys, found = [], [], []
                 for x in _sets(part.column("text"), width):
                     n.append(x.size)
-                    keys.append((int(mix(x ^ U64(1)).sum(dtype=U64)), int(mix(x ^ GOLDEN).sum(dtype=U64))))
+                    keys.append(set_keys(x))
                     found.append(band_keys(x, bands, rows).view(np.int64) if x.size else None)
                 keys = np.array(keys, U64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
@@ -90,7 +95,7 @@ def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: i
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """The pairs (a, b) of ids whose full sets have 100 * intersection >= percent * union. texts: (id, text), one row an id."""
+    """The pairs (a, b) of ids whose full sets have 100 * intersection >= percent * union. texts: (id, text); copies count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,7 +108,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    own = texts.join(wanted, "id", "left_semi")
+    own = texts.join(wanted, "id", "left_semi").withColumn("mark", F.unhex(F.md5("text"))).dropDuplicates(["id", "mark"])
     joined = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -114,21 +119,27 @@ def rare_pairs(mixed: DataFrame, texts: DataFrame, percent: int = PERCENT, width
     """Pairs (a, b) of the ids in mixed (id, component) that may be alike, of different components.
 
     Exact: sets this alike share one of their rarest shingles, ordered by how many of these sets have them; a set of n
-    needs its n - ceil(percent/100 n) + 1 rarest. Passages that many texts share are thus no candidates.
+    needs its n - ceil(percent/100 n) + 1 rarest. Passages that many texts share are thus no candidates. Sets are ranked
+    one by one: copies of a row count once, and an id may stand for several texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sets = [x.view(np.int64) for x in _sets(part.column("text"), width)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "found"])
+                sets = list(_sets(part.column("text"), width))
+                keys = np.array([set_keys(x) for x in sets], U64).reshape(-1, 2)
+                sets = [x.view(np.int64) for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), long_array(keys[:, 0]), long_array(keys[:, 1]), pa.array(sets, pa.list_(pa.int64()))], ["id", "key1", "key2", "found"]
+                )
 
-    sets = texts.join(mixed.select("id"), "id", "left_semi").mapInArrow(run, "id long, found array<long>")
-    each = sets.select("id", F.size("found").alias("n"), F.explode("found").alias("shingle"))
+    own = ["id", "key1", "key2"]
+    sets = texts.join(mixed.select("id"), "id", "left_semi").mapInArrow(run, "id long, key1 long, key2 long, found array<long>").dropDuplicates(own)
+    each = sets.select(*own, F.size("found").alias("n"), F.explode("found").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1")
     each = each.join(often, "shingle", "left")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "shingle"))
+    rank = F.row_number().over(Window.partitionBy(*own).orderBy(F.coalesce("often", F.lit(1)), "shingle"))
     rare = each.withColumn("rank", rank).filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & F.col("often").isNotNull())
     rare = rare.join(mixed, "id").select("shingle", "id", "n", "component", "rank")
     other = rare.select("shingle", F.struct("id", "n", "component", "rank").alias("hub"))

@@ -5,7 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from limpid.llm.components import components
-from limpid.llm.near_dedup import near_duplicates
+from limpid.llm.near_dedup import confirmed, near_duplicates, rare_pairs
 
 DATA = "/root/testdata/sf0.001/documents.parquet"
 
@@ -70,3 +70,17 @@ def test_components(spark, links):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     known = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: min(known) for x in known}
+
+
+def test_rare_pairs_of_copies_and_of_ids_with_several_texts(spark):
+    words = [f"w{k}" for k in range(120)]
+    near = " ".join([*words[:60], "x", *words[60:], "y"])
+    other = " ".join(f"o{k}" for k in range(400))
+    mixed = spark.createDataFrame([(1, 1), (2, 2)], "id long, component long")
+    for rows in ([(1, near)] * 8 + [(2, " ".join(words))] * 3, [(1, near), (1, other), (2, " ".join(words)), (2, other.upper() + " z")] * 2):
+        texts = spark.createDataFrame(rows, "id long, text string")
+        pairs = rare_pairs(mixed, texts)
+        assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
+        assert {tuple(r) for r in confirmed(pairs, texts).collect()} == {(1, 2)}
+    texts = spark.createDataFrame([(1, near)] * 8 + [(2, " ".join(words))] * 3, "id long, text string")
+    assert confirmed(rare_pairs(mixed, texts), texts).count() == 1
