@@ -25,7 +25,8 @@ from limpid.llm.arrays import U64, mix
 ORDER = 4
 #: At most about so many labelled texts of each language are learned from, chosen by a hash of doc_id.
 PER_LANGUAGE = 20_000
-#: At most so many different strings in all languages are kept, the most frequent: 16 bytes each and 8 for each language.
+#: About so many different strings of each length in all languages are kept, besides the ends of longer ones and single
+#: characters: 16 bytes each and 8 for each language. Beyond that each language keeps its most frequent ones.
 MAX_STRINGS = 1_000_000
 #: Rejected: cross-entropy beyond the mean of calibration texts by so many standard deviations, and twice that mean.
 DEVIATIONS = 8.0
@@ -186,19 +187,34 @@ def _pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, int]]:
         yield part, np.array(number), size
 
 
+def _discount(one: int, two: int) -> float:
+    """Kneser-Ney discount from the numbers of strings that stand once and twice."""
+    return min(0.95, max(0.1, one / (one + 2 * two))) if one + two else 0.5
+
+
 def smooth(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     """Interpolated Kneser-Ney models from the packed strings and counts of each language."""
     names = sorted(counts)
-    width = len(names)
-    tables: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(ORDER)]
+    tables: list[list[tuple]] = [[] for _ in range(ORDER)]
     for name in names:
         keys, c = counts[name]
         order = np.argsort(keys)
         keys, c = keys[order].astype(U64), c[order].astype(float)
-        tables[ORDER - 1].append((keys, c))
-        for n in range(ORDER - 1, 0, -1):  # continuation counts: in how many longer strings a string ends
-            keys, c = np.unique(keys & _mask(n), return_counts=True)
-            tables[n - 1].append((keys, c.astype(float)))
+        for n in range(ORDER, 0, -1):
+            first = np.unique(keys >> U64(16), return_inverse=True)[1] if n > 1 else np.zeros(keys.size, np.int64)
+            tables[n - 1].append((keys, c, np.bincount(first, c)[first], _discount((c == 1).sum(), (c == 2).sum())))
+            if n > 1:  # continuation counts: in how many longer strings a string ends
+                keys, c = np.unique(keys & _mask(n - 1), return_counts=True)
+                c = c.astype(float)
+    return interpolate(names, tables)
+
+
+def interpolate(names: list[str], tables: list[list[tuple]]) -> Model:
+    """The model from (kept strings, counts, count of all strings of the same context, discount) of each order and language.
+
+    What a context's strings that are not kept would have weighs the lower order.
+    """
+    width = len(names)
     alphabet = max(2, np.unique(np.concatenate([t[0] for t in tables[0]])).size)
     floor = 1.0 / (4 * alphabet)
     unseen = np.full(width, np.log2(floor))
@@ -210,13 +226,13 @@ def smooth(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
         p = np.zeros((union.size, width))
         weight = np.zeros((before.size, width))
         own = np.searchsorted(before, union >> U64(16)) if n > 1 else np.zeros(union.size, np.int64)
-        for k, (keys, c) in enumerate(tables[n - 1]):
-            one, two = (c == 1).sum(), (c == 2).sum()
-            d = min(0.95, max(0.1, one / (one + 2 * two))) if one + two else 0.5
+        for k, (keys, c, whole, d) in enumerate(tables[n - 1]):
             at = np.searchsorted(union, keys)
-            total = np.bincount(own[at], c, before.size)
+            total = np.zeros(before.size)
+            total[own[at]] = whole
+            rest = total - np.bincount(own[at], c, before.size)
             kinds = np.bincount(own[at], minlength=before.size)
-            w = np.where(total > 0, d * kinds / np.maximum(total, 1e-300), 1.0)
+            w = np.where(total > 0, (d * kinds + rest) / np.maximum(total, 1e-300), 1.0)
             weight[:, k] = w
             p[at, k] = np.maximum(c - d, 0) / total[own[at]]
             shorter = np.full(union.size, floor) if lower is None else lower[1][np.searchsorted(lower[0], union & _mask(n - 1)), k]
@@ -229,8 +245,8 @@ def smooth(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return Model(names, grams, logp, contexts, weights, unseen + weights[0][0], np.full(width, np.inf), 20.0)
 
 
-def count_strings(labelled: DataFrame, per_language: int, max_strings: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Counts of 4-character strings in (lang, text), summed map-side; at most max_strings of the most frequent."""
+def learn(labelled: DataFrame, max_strings: int) -> Model | None:
+    """A model from (lang, text). Strings are counted map-side first; discounts and continuation counts come from all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,20 +260,70 @@ def count_strings(labelled: DataFrame, per_language: int, max_strings: int) -> d
     counts = labelled.mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
     counts = counts.persist()
     try:
-        least = 1
-        sizes = counts.groupBy(F.least("c", F.lit(4096)).alias("c")).count().orderBy(F.desc("c")).collect()  # 4096 rows at most
-        total = 0
-        for row in sizes:
-            total += row["count"]
-            if total > max_strings:
-                least = row["c"] + 1
-                break
-        table = counts.filter(F.col("c") >= least).limit(max_strings).toArrow()
+        if counts.count() > max_strings:
+            return _learn_kept(counts, max_strings)
+        found = {name: columns[:2] for name, columns in _by_language(counts.toArrow(), ["key", "c"]).items()}
+        return smooth(found) if found else None
     finally:
         counts.unpersist()
+
+
+def _by_language(table: pa.Table, columns: list[str]) -> dict[str, list[np.ndarray]]:
     langs = np.array(table.column("lang").to_pylist(), object)
-    keys, c = table.column("key").to_numpy().view(U64), table.column("c").to_numpy()
-    return {name: (keys[langs == name], c[langs == name]) for name in sorted(set(langs))}
+    values = [table.column(c).to_numpy() for c in columns]
+    values[0] = values[0].view(U64)
+    return {name: [v[langs == name] for v in values] for name in sorted(set(langs))}
+
+
+def _level(sizes: list[int], most: int) -> int:
+    """The greatest bound on each size with which all add up to at most `most`."""
+    left = most
+    for i, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - i) > left:
+            return max(1, left // (len(sizes) - i))
+        left -= size
+    return max(sizes)
+
+
+def _learn_kept(counts: DataFrame, max_strings: int) -> Model:
+    """The same with the most frequent strings of each language only; of the least frequent kept, a share by their hash."""
+    tables: list[list[tuple]] = [[] for _ in range(ORDER)]
+    level, ends = counts, None
+    for n in range(ORDER, 0, -1):
+        often = F.least("c", F.lit(4096))
+        kinds: dict[str, dict[int, int]] = {}
+        for row in level.groupBy("lang", often.alias("c")).agg(F.count("*").alias("n")).collect():  # 4096 rows a language at most
+            kinds.setdefault(row["lang"], {})[row["c"]] = row["n"]
+        kept = level
+        if n > 1:  # single characters all stay, so no language goes
+            bound = _level([sum(k.values()) for k in kinds.values()], max_strings)
+            cuts = []
+            for name, k in kinds.items():
+                room, least, share = bound, 0, 0.0
+                for c in sorted(k, reverse=True):
+                    if k[c] > room:
+                        least, share = c, room / k[c]
+                        break
+                    room -= k[c]
+                cuts.append((name, least, share))
+            cut = level.sparkSession.createDataFrame(cuts, "lang string, least long, share double")
+            draw = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < F.col("share") * 1_000_000
+            kept = level.join(F.broadcast(cut), "lang").filter((often > F.col("least")) | ((often == F.col("least")) & draw)).select("lang", "key", "c")
+            if ends is not None:
+                kept = kept.unionByName(level.join(ends, ["lang", "key"], "left_semi")).distinct()
+        before = F.shiftrightunsigned("key", 16).alias("before")
+        whole = level.groupBy("lang", before).agg(F.sum("c").alias("whole"))
+        found = _by_language(kept.withColumn("before", before).join(whole, ["lang", "before"]).select("lang", "key", "c", "whole").toArrow(), ["key", "c", "whole"])
+        for name in sorted(kinds):
+            keys, c, total = found.get(name, [np.zeros(0, U64), np.zeros(0), np.zeros(0)])
+            order = np.argsort(keys)
+            d = _discount(kinds[name].get(1, 0), kinds[name].get(2, 0))
+            tables[n - 1].append((keys[order], c[order].astype(float), total[order].astype(float), d))
+        if n > 1:
+            end = F.col("key").bitwiseAND(F.lit(int(_mask(n - 1)))).alias("key")
+            ends = kept.select("lang", end).distinct()
+            level = level.groupBy("lang", end).agg(F.count("*").alias("c"))
+    return interpolate(sorted(kinds), tables)
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_strings: int = MAX_STRINGS) -> Model | None:
@@ -266,13 +332,10 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_strings: in
     sizes = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").groupBy("lang").count()
     # A language's share of the draws gives about per_language texts; the list of languages is small.
     sample = usable.join(F.broadcast(sizes.select("lang", (F.lit(1e6 * per_language) / F.col("count")).alias("most"))), "lang").filter(F.col("draw") < F.col("most"))
-    learn, rest = sample.filter("draw % 10 != 7"), sample.filter("draw % 10 = 7")
-    counts = count_strings(learn.select("lang", "text"), per_language, max_strings)
-    if not counts:
-        counts = count_strings(sample.select("lang", "text"), per_language, max_strings)
-    if not counts:
+    most, rest = sample.filter("draw % 10 != 7"), sample.filter("draw % 10 = 7")
+    model = learn(most.select("lang", "text"), max_strings) or learn(sample.select("lang", "text"), max_strings)
+    if model is None:
         return None
-    model = smooth(counts)
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

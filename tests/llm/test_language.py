@@ -48,3 +48,26 @@ def test_hash_array_and_strings():
     packed, text, has = strings(["Ab", "", "1", "é!!b"])
     assert text.tolist() == [0, 0, 3, 3, 3] and has.tolist() == [True, False, False, True]
     assert (packed & np.uint64(0xFFFF)).tolist() == [97, 98, 233, 32, 98]
+
+
+def test_many_strings_keep_discounts_and_languages(spark, documents):
+    import random
+
+    rng = random.Random(3)
+    han = lambda: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    rows = [(i, "der hund und die katze und das haus " * 40 + f"b{chr(97 + i % 26)}", "de") for i in range(40)]
+    rows += [(100 + i, han(), "zh") for i in range(200)] + [(500 + i, "ⴰⴱⴲⴳⴴⴵⴶ", "zgh") for i in range(1)] * 1
+    learn = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, cut = train(learn), train(learn, max_strings=600)
+    assert cut.names == whole.names and sum(g.order.size for g in cut.grams[1:]) < 4000 < sum(g.order.size for g in whole.grams[1:])
+    assert np.allclose(cut.unseen, whole.unseen)  # floor, continuation counts and discounts of single characters
+    names = [r.lang_pred for r in sorted(identify(documents(["der hund", rows[60][1], "ⴰⴱⴲ"]), cut).collect(), key=lambda r: r.doc_id)]
+    assert names == ["de", "zh", "zgh" if "zgh" in whole.names else names[2]]
+    every = np.unique(strings([t for _, t, _ in rows])[0] & np.uint64(0xFFFF))
+    for context in ("hun", "und", rows[60][1][:3]):
+        high = sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(context))
+        p, full = (np.exp2(m.scores(np.uint64(high) + every)).sum(axis=0) for m in (cut, whole))
+        assert (abs(p - full) < 0.1).all() and (p <= 1.001).all()
+    context = sum(ord(c) << (16 * (3 - i)) for i, c in enumerate("der"))
+    one = np.array([context + 32], np.uint64)
+    assert np.allclose(cut.scores(one)[:, 0], whole.scores(one)[:, 0], atol=0.01)
