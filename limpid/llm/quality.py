@@ -14,13 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.arrays import U64, mix, not_space, text_slices, words_of
+from limpid.llm.arrays import not_space, text_slices, words_of
 from limpid.llm.storage import stored
 
 #: About so many labelled and so many pool documents are fitted on, drawn by a hash of doc_id; some 500 bytes each.
@@ -29,7 +30,9 @@ POOL = 20_000
 ROUNDS = 5
 #: Share of the pool that a view labels in a round.
 STEP = 0.05
-BUCKETS = 24
+#: Hashed columns of the source and of the lang of a page; a page stores two numbers, so they cost nothing a row.
+SOURCES = 1 << 16
+LANGS = 128
 CONTENT = 16
 
 
@@ -74,69 +77,135 @@ def content_features(column: pa.Array) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, CONTENT))
 
 
-def page_features(langs: list, sources: list, chars: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """A row for each page: source and lang in hashed columns, size, lines and their length."""
-    out = np.zeros((len(langs), BUCKETS + 8 + 3))
-    known: dict = {}
-    for column, values, first, count in ((0, sources, 0, BUCKETS), (1, langs, BUCKETS, 8)):
-        for i, v in enumerate(values):
-            if (column, v) not in known:
-                digest = mix(np.array([int.from_bytes(f"{column}{v}".encode()[-64:], "little") % (1 << 64)], U64))[0]
-                known[column, v] = first + int(digest % U64(count))
-            out[i, known[column, v]] = 1
-    out[:, -3] = np.log1p(chars)
-    out[:, -2] = np.log1p(lines)
-    out[:, -1] = np.log1p(chars / np.maximum(lines, 1))
-    return out
+def page_features(chars: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """A row for each page: size, lines and their length."""
+    return np.column_stack([np.log1p(chars), np.log1p(lines), np.log1p(chars / np.maximum(lines, 1))])
 
 
 def views(docs: DataFrame) -> DataFrame:
-    """doc_id, content and page (arrays of floats) of every row."""
+    """doc_id, content and page (arrays of floats), hashed columns of source and lang, of every row."""
+    names = ["doc_id", "content", "page", "source", "lang"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 content = content_features(part.column("text"))
-                page = page_features(
-                    part.column("lang").to_pylist(), part.column("source").to_pylist(), part.column("chars").to_numpy(), part.column("lines").to_numpy()
-                )
+                page = page_features(part.column("chars").to_numpy(), part.column("lines").to_numpy())
                 columns = [pa.array(list(x.astype(np.float32)), pa.list_(pa.float32())) for x in (content, page)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "content", "page"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns, part.column("source"), part.column("lang")], names)
 
     text = F.coalesce("text", F.lit(""))
+    slot = lambda c, n: F.pmod(F.xxhash64(F.lit(c), F.col(c)), F.lit(n)).cast("int").alias(c)
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.length(text).alias("chars"), (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("lines")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", slot("lang", LANGS), slot("source", SOURCES), F.length(text).alias("chars"), (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("lines")
     )
-    return rows.mapInArrow(run, "doc_id long, content array<float>, page array<float>")
+    return rows.mapInArrow(run, "doc_id long, content array<float>, page array<float>, source int, lang int")
+
+
+class View(NamedTuple):
+    """Features of rows, and the hashed columns that are 1 in them, if the view has such."""
+
+    x: np.ndarray
+    source: np.ndarray | None = None
+    lang: np.ndarray | None = None
+
+    def take(self, which: np.ndarray) -> View:
+        return View(*(None if v is None else v[which] for v in self))
+
+
+def _view(x: np.ndarray | View) -> View:
+    return x if isinstance(x, View) else View(x)
 
 
 @dataclass
 class Logistic:
+    """core: weights of 1, the features and the langs; source: those of the sources."""
+
     mean: np.ndarray
     scale: np.ndarray
-    weight: np.ndarray
-
-    def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.mean) / self.scale) @ self.weight[1:] + self.weight[0], -30, 30)
-
-
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
-    """Ridge logistic regression by Newton steps."""
-    mean, scale = x.mean(0), x.std(0)
-    scale[scale < 1e-6] = 1.0
-    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    w = np.zeros(z.shape[1])
-    penalty = np.full(w.size, ridge)
+    core: np.ndarray
+    source: np.ndarray
+
+    @staticmethod
+    def start(x: np.ndarray | View) -> Logistic:
+        v = _view(x)
+        mean, scale = v.x.mean(0), v.x.std(0)
+        scale[scale < 1e-6] = 1.0
+        hashed = v.source is not None
+        return Logistic(mean, scale, np.zeros(1 + mean.size + LANGS * hashed), np.zeros(SOURCES * hashed))
+
+    def logit(self, x: np.ndarray | View) -> np.ndarray:
+        v = _view(x)
+        d = 1 + self.mean.size
+        z = ((v.x - self.mean) / self.scale) @ self.core[1:d] + self.core[0]
+        if v.source is not None:
+            z = z + self.core[d:][v.lang] + self.source[v.source]
+        return np.clip(z, -30, 30)
+
+
+def sums(model: Logistic, x: np.ndarray | View, y: np.ndarray, weight: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """What a Newton step needs of these rows, as (sorted cells, values); of equal cells the values of several parts add up.
+
+    With k core weights, cell (i, j) is i * (k + 2) + j for the core and (k + source) * (k + 2) + j for a source; column k
+    holds a source's own second derivative and column k + 1 the gradient.
+    """
+    v = _view(x)
+    k, d = model.core.size, 1 + model.mean.size
+    p = 1 / (1 + np.exp(-model.logit(v)))
+    r, q = weight * (y - p), weight * p * (1 - p)
+    z = np.zeros((len(y), k))
+    z[:, 0] = 1
+    z[:, 1:d] = (v.x - model.mean) / model.scale
+    if v.source is not None:
+        z[np.arange(len(y)), d + v.lang] = 1
+    own = np.zeros((k, k + 2))
+    own[:, :k] = (z * q[:, None]).T @ z
+    own[:, k + 1] = z.T @ r
+    cells = [np.flatnonzero(own)]
+    values = [own.reshape(-1)[cells[0]]]
+    if v.source is not None:
+        at = (k + v.source.astype(np.int64)) * (k + 2)
+        cells += [at + j for j in range(d)] + [at + d + v.lang, at + k, at + k + 1]
+        values += [q * z[:, j] for j in range(d)] + [q, q, r]
+    return merged(np.concatenate(cells), np.concatenate(values))
+
+
+def merged(cells: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    cells, at = np.unique(cells, return_inverse=True)
+    return cells, np.bincount(at, values, cells.size)
+
+
+def newton(model: Logistic, cells: np.ndarray, values: np.ndarray, ridge: float = 1.0) -> float:
+    """Moves the model by a step; the greatest move. Sources are eliminated first, as no row has two."""
+    cells, values = merged(cells, values)
+    k = model.core.size
+    row, column = np.divmod(cells, k + 2)
+    core = row < k
+    own = np.zeros((k, k + 2))
+    own[row[core], column[core]] = values[core]
+    penalty = np.full(k, ridge)
     penalty[0] = 1e-3
+    h, g = own[:, :k] + np.diag(penalty), own[:, k + 1] - penalty * model.core
+    used = np.union1d(row[~core] - k, np.flatnonzero(model.source))
+    block = np.zeros((used.size, k + 2))
+    block[np.searchsorted(used, row[~core] - k), column[~core]] = values[~core]
+    cross, second, slope = block[:, :k], block[:, k] + ridge, block[:, k + 1] - ridge * model.source[used]
+    step = np.linalg.solve(h - cross.T @ (cross / second[:, None]), g - cross.T @ (slope / second))
+    more = (slope - cross @ step) / second
+    model.core = model.core + step
+    model.source = model.source.copy()
+    model.source[used] += more
+    return max(np.abs(step).max(), np.abs(more).max(initial=0))
+
+
+def fit(x: np.ndarray | View, y: np.ndarray, ridge: float = 1.0) -> Logistic:
+    """Ridge logistic regression by Newton steps."""
+    model = Logistic.start(x)
     for _ in range(12):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty)
-        step = np.linalg.solve(h, z.T @ (y - p) - penalty * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
+        if newton(model, *sums(model, x, y), ridge) < 1e-6:
             break
-    return Logistic(mean, scale, w)
+    return model
 
 
 @dataclass
@@ -146,10 +215,10 @@ class Model:
     page: Logistic | None = None
     joint: Logistic | None = None
 
-    def scores(self, content: np.ndarray, page: np.ndarray) -> np.ndarray:
+    def scores(self, content: np.ndarray | View, page: np.ndarray | View) -> np.ndarray:
         """Columns: joint score, calibrated logits of the views."""
         if self.joint is None:
-            return np.column_stack([np.full(len(content), self.base), np.zeros((len(content), 2))])
+            return np.column_stack([np.full(len(_view(content).x), self.base), np.zeros((len(_view(content).x), 2))])
         z = np.column_stack([self.content.logit(content), self.page.logit(page)])
         return np.column_stack([1 / (1 + np.exp(-self.joint.logit(z))), z])
 
@@ -162,21 +231,22 @@ def co_train(labelled: tuple, pool: tuple, rounds: int = ROUNDS, step: float = S
     rest = draw % 4 == 1
     if min(y[rest].sum(), (1 - y[rest]).sum(), y[~rest].sum(), (1 - y[~rest]).sum()) < 1:
         rest = np.zeros(y.size, bool)
-    data = [(content, pool[0]), (page, pool[1])]
+    content, page = _view(content), _view(page)
+    data = [(content, _view(pool[0])), (page, _view(pool[1]))]
     extra = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
     models: list[Logistic] = []
     for turn in range(rounds + 1):
         models = [
-            fit(np.concatenate([own[~rest], more[which]]), np.concatenate([y[~rest], said]))
+            fit(_joined(own.take(~rest), more.take(which)), np.concatenate([y[~rest], said]))
             for (own, more), (which, said) in zip(data, extra, strict=True)
         ]
-        if turn == rounds or not len(pool[0]):
+        if turn == rounds or not len(data[0][1].x):
             break
         taught = []
         for k in (0, 1):  # what view k is surest of, as many of each kind as the labelled have, teaches the other one
             z = models[k].logit(data[k][1])
             # A view that can't tell kinds apart on unseen labels would only teach its noise.
-            own = models[k].logit(data[k][0][rest]) if rest.any() else models[k].logit(data[k][0])
+            own = models[k].logit(data[k][0].take(rest)) if rest.any() else models[k].logit(data[k][0])
             known = y[rest] if rest.any() else y
             order = np.argsort(z, kind="stable")
             n = max(1, int(step * (turn + 1) * len(z)))
@@ -189,10 +259,21 @@ def co_train(labelled: tuple, pool: tuple, rounds: int = ROUNDS, step: float = S
             taught.append((np.concatenate([high, low]), np.concatenate([np.ones(high.size), np.zeros(low.size)])))
         extra = [taught[1], taught[0]]
     use = rest if rest.any() else np.ones(y.size, bool)
-    z = np.column_stack([models[0].logit(content[use]), models[1].logit(page[use])])
+    z = np.column_stack([models[0].logit(content.take(use)), models[1].logit(page.take(use))])
     return Model(float(y.mean()), models[0], models[1], fit(z, y[use]))
 
 
+def _joined(a: View, b: View) -> View:
+    return View(*(None if v is None else np.concatenate([v, w]) for v, w in zip(a, b, strict=True)))
+
+
+def _both(batch: pa.Table | pa.RecordBatch) -> tuple[View, View]:
+    """Content and page of rows of views."""
+    table = batch if isinstance(batch, pa.Table) else pa.Table.from_batches([batch])
+    content, page = (_matrix(table.column(c), table.num_rows) for c in ("content", "page"))
+    return View(content), View(page, table.column("source").to_numpy(), table.column("lang").to_numpy())
+
+
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
     return flat.reshape(rows, -1) if rows else np.zeros((0, 1))
@@ -205,11 +286,11 @@ def train(found: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: i
     n = drawn.agg(F.count("y").alias("y"), F.count("*").alias("n")).first()
     share, other = 1e6 * labelled / max(1, n["y"]), 1e6 * pool / max(1, n["n"] - n["y"])
     table = drawn.filter(F.when(F.col("y").isNotNull(), F.col("draw") < share).otherwise(F.col("draw") < other)).orderBy("doc_id").toArrow()
-    content, page = (_matrix(table.column(c), table.num_rows) for c in ("content", "page"))
+    content, page = _both(table)
     y = table.column("y").to_numpy().astype(float)
     has = ~np.isnan(y)
     draw = table.column("draw").to_numpy()
-    return co_train((content[has], page[has], y[has], draw[has]), (content[~has], page[~has]), rounds)
+    return co_train((content.take(has), page.take(has), y[has], draw[has]), (content.take(~has), page.take(~has)), rounds)
 
 
 def score(found: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -220,8 +301,7 @@ def score(found: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            content, page = (_matrix(pa.chunked_array([batch.column(c)]), n) for c in ("content", "page"))
-            s = shared.value.scores(content, page) if n else np.zeros((0, 3))
+            s = shared.value.scores(*_both(batch)) if n else np.zeros((0, 3))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(s[:, k]) for k in range(3)], pa.array(s[:, 0] >= least)], names)
 
     return found.mapInArrow(run, "doc_id long, score double, content_logit double, page_logit double, good boolean")

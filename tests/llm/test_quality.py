@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from limpid.llm.quality import CONTENT, classify, co_train, content_features, fit
+from limpid.llm.quality import CONTENT, View, classify, co_train, content_features, fit, views
 from limpid.llm.queries import op7_quality, table
 
 DATA = "/root/testdata/sf0.1"
@@ -54,3 +54,26 @@ def test_features_and_fit():
     assert x.shape == (4, CONTENT) and np.isfinite(x).all() and (x[0] == x[2]).all()
     m = fit(np.array([[0.0], [1.0], [2.0], [3.0]]), np.array([0.0, 0.0, 1.0, 1.0]), 0.1)
     assert (m.logit(np.array([[0.0], [3.0]])) * [-1, 1] > 0).all()
+
+
+def test_sources_that_begin_alike_are_told_apart(spark):
+    names = [f"https://www.example-{k}.org" for k in range(100)] + [f"source_{k:02d}" for k in range(50)] + [None, ""]
+    docs = spark.createDataFrame([(i, "a b", "en", n) for i, n in enumerate(names)], "doc_id long, text string, lang string, source string")
+    rows = views(docs).collect()
+    assert len({r.source for r in rows}) >= len(names) - 2 and len({r.lang for r in rows}) == 1
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, "a b", "en", f"https://www.{'good' if i % 2 else 'poor'}.org") for i in range(500)], docs.schema)
+    assert all(r.good == bool(r.doc_id % 2) for r in classify(docs, labels).collect())
+
+
+def test_fit_with_sources_as_with_dense_columns():
+    rng = np.random.default_rng(2)
+    x, source, lang = rng.normal(size=(300, 2)), rng.integers(0, 5, 300), rng.integers(0, 3, 300)
+    y = (x[:, 0] + (source > 2) + rng.normal(size=300) > 0.5).astype(float)
+    got = fit(View(x, source, lang), y)
+    z = np.column_stack([np.ones(300), (x - x.mean(0)) / x.std(0), np.eye(3)[lang], np.eye(5)[source]])
+    w, penalty = np.zeros(11), np.array([1e-3] + [1.0] * 10)
+    for _ in range(20):
+        p = 1 / (1 + np.exp(-z @ w))
+        w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (y - p) - penalty * w)
+    assert np.allclose(got.logit(View(x, source, lang)), z @ w, atol=1e-6)
