@@ -1,7 +1,7 @@
 """Quality by co-training: a classifier of the text and one of the page's metadata teach each other.
 
-Both views start from labelled documents. In each round each view labels the documents of a pool it is surest of, and
-the other view learns from them too. The views are calibrated on labelled documents that neither has seen and joined to
+Both views start from a bounded sample of labelled documents. In each round each view labels those of all unlabelled
+documents that it is surest of, and the other view learns from them too, through sums that Spark adds up. The views are calibrated on labelled documents that neither has seen and joined to
 one score for every document.
 
 Null text counts as empty, null lang and source are values of their own. Documents without doc_id are scored as all
@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 from limpid.llm.arrays import not_space, text_slices, words_of
 from limpid.llm.storage import stored
 
-#: About so many labelled and so many pool documents are fitted on, drawn by a hash of doc_id; some 500 bytes each.
+#: About so many labelled documents are fitted on, drawn by a hash of doc_id; some 500 bytes each.
 LABELLED = 20_000
+#: All unlabelled documents take part in the exchange; more than so many weigh as much as so many together.
 POOL = 20_000
 ROUNDS = 5
-#: Share of the pool that a view labels in a round.
+#: Logits are counted in so many bins for the cut-offs.
+BINS = 1 << 16
+#: Share of the unlabelled documents that a view labels in a round.
 STEP = 0.05
 #: Hashed columns of the source and of the lang of a page; a page stores two numbers, so they cost nothing a row.
 SOURCES = 1 << 16
@@ -223,50 +226,128 @@ class Model:
         return np.column_stack([1 / (1 + np.exp(-self.joint.logit(z))), z])
 
 
-def co_train(labelled: tuple, pool: tuple, rounds: int = ROUNDS, step: float = STEP) -> Model:
-    """labelled: (content, page, labels, draw); pool: (content, page). A quarter of the labelled calibrates."""
+def _bins(z: np.ndarray) -> np.ndarray:
+    return np.minimum(((z + 30) * (BINS / 60)).astype(np.int64), BINS - 1)
+
+
+def _cut(counts: np.ndarray, good: int, bad: int) -> tuple[int, int]:
+    """Bins from and up to which the surest documents of each kind lie, whole bins; none if they meet."""
+    high = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), good))
+    low = int(np.searchsorted(np.cumsum(counts), bad))
+    return (high, low) if low < high else (BINS, -1)
+
+
+@dataclass
+class Lesson:
+    """Two new models (content, page) that learn from what the other view's teacher is surest of."""
+
+    models: list[Logistic]
+    teachers: list[Logistic]
+    cuts: list[tuple[int, int]]
+    weight: float
+
+    def sums(self, both: tuple[View, View]) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for k in (0, 1):
+            high, low = self.cuts[1 - k]
+            sure = _bins(self.teachers[1 - k].logit(both[1 - k]))
+            which = np.flatnonzero((sure >= high) | (sure <= low))
+            out.append(sums(self.models[k], both[k].take(which), (sure[which] >= high).astype(float), self.weight))
+        return out
+
+
+class LocalPool:
+    """Unlabelled documents in memory."""
+
+    def __init__(self, content: np.ndarray | View, page: np.ndarray | View):
+        self.both = _view(content), _view(page)
+        self.size = len(self.both[0].x)
+
+    def counts(self, models: list[Logistic]) -> list[np.ndarray]:
+        return [np.bincount(_bins(m.logit(v)), minlength=BINS) for m, v in zip(models, self.both, strict=True)]
+
+    def sums(self, lesson: Lesson) -> list[tuple[np.ndarray, np.ndarray]]:
+        return lesson.sums(self.both)
+
+
+class SparkPool:
+    """Unlabelled documents as a stored DataFrame of views. What comes back is bounded by the models, not by the rows."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        self.size = rows.count()
+
+    def _added(self, shared, work) -> list[tuple[np.ndarray, np.ndarray]]:
+        """work(shared, content and page of a batch): (cells, values) of each view, added up over all rows."""
+        sent = self.rows.sparkSession.sparkContext.broadcast(shared)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[list] = [[], []]
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                for k, part in enumerate(work(sent.value, _both(batch))):
+                    held[k].append(part)
+                    if len(held[k]) > 16:
+                        held[k] = [merged(*map(np.concatenate, zip(*held[k], strict=True)))]
+            for k in (0, 1):
+                if held[k]:
+                    cells, values = merged(*map(np.concatenate, zip(*held[k], strict=True)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(cells.size, k, np.int32)), pa.array(cells), pa.array(values, pa.float64())], ["view", "cell", "value"])
+
+        table = self.rows.mapInArrow(run, "view int, cell long, value double").groupBy("view", "cell").agg(F.sum("value").alias("value")).toArrow()
+        sent.destroy()
+        view, cell, value = (table.column(c).to_numpy() for c in ("view", "cell", "value"))
+        return [(cell[view == k], value[view == k]) for k in (0, 1)]
+
+    def counts(self, models: list[Logistic]) -> list[np.ndarray]:
+        work = lambda models, both: [merged(b := _bins(m.logit(v)), np.ones(b.size)) for m, v in zip(models, both, strict=True)]
+        return [np.bincount(cells, values, BINS) for cells, values in self._added(models, work)]
+
+    def sums(self, lesson: Lesson) -> list[tuple[np.ndarray, np.ndarray]]:
+        return self._added(lesson, lambda lesson, both: lesson.sums(both))
+
+
+def co_train(labelled: tuple, pool, rounds: int = ROUNDS, step: float = STEP, most: int | None = None) -> Model:
+    """labelled: (content, page, labels, draw); pool: (content, page) or one of the pools. A quarter of the labelled calibrates.
+
+    With most, taught documents weigh as if the pool had at most so many.
+    """
     content, page, y, draw = labelled
     if y.size < 8 or y.min() == y.max():
         return Model(float(y.mean()) if y.size else 0.5)
+    pool = LocalPool(*pool) if isinstance(pool, tuple) else pool
     rest = draw % 4 == 1
     if min(y[rest].sum(), (1 - y[rest]).sum(), y[~rest].sum(), (1 - y[~rest]).sum()) < 1:
         rest = np.zeros(y.size, bool)
-    content, page = _view(content), _view(page)
-    data = [(content, _view(pool[0])), (page, _view(pool[1]))]
-    extra = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
-    models: list[Logistic] = []
-    for turn in range(rounds + 1):
-        models = [
-            fit(_joined(own.take(~rest), more.take(which)), np.concatenate([y[~rest], said]))
-            for (own, more), (which, said) in zip(data, extra, strict=True)
-        ]
-        if turn == rounds or not len(data[0][1].x):
-            break
-        taught = []
-        for k in (0, 1):  # what view k is surest of, as many of each kind as the labelled have, teaches the other one
-            z = models[k].logit(data[k][1])
+    data = [_view(content), _view(page)]
+    weight = min(1.0, most / max(1, pool.size)) if most else 1.0
+    models = [fit(v.take(~rest), y[~rest]) for v in data]
+    for turn in range(rounds if pool.size else 0):
+        cuts = []
+        for k, counts in enumerate(pool.counts(models)):  # what view k is surest of, as many of each kind as the labelled have, teaches the other one
             # A view that can't tell kinds apart on unseen labels would only teach its noise.
-            own = models[k].logit(data[k][0].take(rest)) if rest.any() else models[k].logit(data[k][0])
+            own = models[k].logit(data[k].take(rest) if rest.any() else data[k])
             known = y[rest] if rest.any() else y
-            order = np.argsort(z, kind="stable")
-            n = max(1, int(step * (turn + 1) * len(z)))
-            good = max(1, int(n * y.mean()))
-            bad = max(1, n - good)
-            high, low = order[-good:], order[:bad]
             ranks = np.argsort(np.argsort(own))
             apart = (ranks[known == 1].mean() - ranks[known == 0].mean()) / max(1, len(known))
-            high, low = (high, low) if apart > 0.2 else (high[:0], low[:0])
-            taught.append((np.concatenate([high, low]), np.concatenate([np.ones(high.size), np.zeros(low.size)])))
-        extra = [taught[1], taught[0]]
+            n = max(1, int(step * (turn + 1) * pool.size))
+            good = max(1, int(n * y.mean()))
+            cuts.append(_cut(counts, good, max(1, n - good)) if apart > 0.2 else (BINS, -1))
+        lesson = Lesson([Logistic.start(v.take(~rest)) for v in data], models, cuts, weight)
+        for _ in range(12):
+            moves = []
+            for k, (cells, values) in enumerate(pool.sums(lesson)):
+                own = sums(lesson.models[k], data[k].take(~rest), y[~rest])
+                moves.append(newton(lesson.models[k], np.concatenate([own[0], cells]), np.concatenate([own[1], values])))
+            if max(moves) < 1e-3:
+                break
+        models = lesson.models
     use = rest if rest.any() else np.ones(y.size, bool)
-    z = np.column_stack([models[0].logit(content.take(use)), models[1].logit(page.take(use))])
+    z = np.column_stack([m.logit(v.take(use)) for m, v in zip(models, data, strict=True)])
     return Model(float(y.mean()), models[0], models[1], fit(z, y[use]))
 
 
-def _joined(a: View, b: View) -> View:
-    return View(*(None if v is None else np.concatenate([v, w]) for v, w in zip(a, b, strict=True)))
-
-
 def _both(batch: pa.Table | pa.RecordBatch) -> tuple[View, View]:
     """Content and page of rows of views."""
     table = batch if isinstance(batch, pa.Table) else pa.Table.from_batches([batch])
@@ -283,14 +364,12 @@ def train(found: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: i
     """found: the views of the documents that may be learned from; labels: doc_id, quality."""
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("quality") > 0).cast("int").alias("y"))
     drawn = found.filter("doc_id IS NOT NULL").withColumn("draw", F.abs(F.xxhash64("doc_id") % 1_000_000)).join(marks, "doc_id", "left")
-    n = drawn.agg(F.count("y").alias("y"), F.count("*").alias("n")).first()
-    share, other = 1e6 * labelled / max(1, n["y"]), 1e6 * pool / max(1, n["n"] - n["y"])
-    table = drawn.filter(F.when(F.col("y").isNotNull(), F.col("draw") < share).otherwise(F.col("draw") < other)).orderBy("doc_id").toArrow()
+    drawn = stored(drawn, "drawn")
+    share = 1e6 * labelled / max(1, drawn.filter("y IS NOT NULL").count())
+    table = drawn.filter(F.col("y").isNotNull() & (F.col("draw") < share)).orderBy("doc_id").toArrow()
     content, page = _both(table)
-    y = table.column("y").to_numpy().astype(float)
-    has = ~np.isnan(y)
-    draw = table.column("draw").to_numpy()
-    return co_train((content.take(has), page.take(has), y[has], draw[has]), (content.take(~has), page.take(~has)), rounds)
+    rest = SparkPool(drawn.filter("y IS NULL").select("content", "page", "source", "lang"))
+    return co_train((content, page, table.column("y").to_numpy().astype(float), table.column("draw").to_numpy()), rest, rounds, most=pool)
 
 
 def score(found: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

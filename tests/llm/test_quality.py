@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from limpid.llm.quality import CONTENT, View, classify, co_train, content_features, fit, views
+from limpid.llm.quality import CONTENT, LocalPool, SparkPool, View, _both, classify, co_train, content_features, fit, train, views
 from limpid.llm.queries import op7_quality, table
 
 DATA = "/root/testdata/sf0.1"
@@ -77,3 +77,20 @@ def test_fit_with_sources_as_with_dense_columns():
         p = 1 / (1 + np.exp(-z @ w))
         w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (y - p) - penalty * w)
     assert np.allclose(got.logit(View(x, source, lang)), z @ w, atol=1e-6)
+
+
+def test_exchange_looks_at_all_unlabelled_documents(spark, documents):
+    # One rare source, far more documents than `pool`: the page view knows it only through what the text view teaches.
+    rng = np.random.default_rng(3)
+    good, source = rng.integers(0, 2, 3000), rng.integers(0, 4, 3000)
+    rows = [(i, "good prose, here it is. " * 3 if g else "# | # | # ", "en", "rare" if i % 100 == 99 and g else f"s{s}") for i, (g, s) in enumerate(zip(good.tolist(), source.tolist(), strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, g) for i, g in enumerate(good.tolist()) if i < 300 and i % 100 != 99], "doc_id long, quality int")
+    found = views(docs).persist()
+    model = train(found, labels, pool=50)
+    rare = found.filter("doc_id >= 300").join(docs.filter("source = 'rare'").select("doc_id"), "doc_id").first()
+    assert model.page.source[rare.source] > 0
+    local = _both(found.join(labels, "doc_id", "left_anti").toArrow())
+    pool = SparkPool(found.join(labels, "doc_id", "left_anti"))
+    both = [model.content, model.page]
+    assert pool.size == len(local[0].x) and all((a == b).all() for a, b in zip(pool.counts(both), LocalPool(*local).counts(both), strict=True))
