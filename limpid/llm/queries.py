@@ -110,3 +110,45 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from limpid.llm.token_files import round_trip
 
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+SHARDS = 16
+
+
+@query
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from limpid.llm.sharding import manifest
+
+    found = manifest(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0])
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+#: The checksum is made byte by byte from a table of 256 remainders, which the first two steps derive from its polynomial.
+SQL["op12_shards"] = f"""
+WITH remainders AS (
+  SELECT list(c ORDER BY i) AS tab
+  FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)::BIGINT[]),
+          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+        FROM range(256) r(i))
+), plain AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS size,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[1 + xor(c & 255, b)]))) AS text_crc32
+  FROM documents, remainders
+), records AS (
+  SELECT *, (row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1) // 262144 AS piece FROM plain
+), draws AS (
+  SELECT doc_id, s, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || s), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) AS cost
+  FROM (SELECT DISTINCT doc_id FROM documents), range({SHARDS + 1}) n(s)
+), best AS (
+  SELECT doc_id, (arg_min(s, (cost, s)) FILTER (s < {SHARDS}))::INT AS shard, arg_min(s, (cost, s))::INT AS grown_shard FROM draws GROUP BY doc_id
+)
+SELECT r.doc_id, r.size, r.text_crc32, 'key' AS law, b.shard,
+  row_number() OVER (PARTITION BY b.shard
+    ORDER BY md5(concat_ws(':', coalesce(r.doc_id::VARCHAR, ''), r.size, r.text_crc32, r.piece)), r.doc_id NULLS FIRST, r.size, r.text_crc32, r.piece) - 1 AS slot,
+  b.grown_shard
+FROM records r JOIN best b ON r.doc_id IS NOT DISTINCT FROM b.doc_id
+"""
