@@ -152,3 +152,51 @@ SELECT r.doc_id, r.size, r.text_crc32, 'key' AS law, b.shard,
   b.grown_shard
 FROM records r JOIN best b ON r.doc_id IS NOT DISTINCT FROM b.doc_id
 """
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), found AS (
+  SELECT id, lang, source, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS size FROM kept GROUP BY lang
+), sizes AS (
+  SELECT lang, source, sum(n) AS size FROM counts GROUP BY lang, source
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (coalesce(s.size, 0) + l.v) AS p,
+    1 + 1000000000::HUGEINT * (k.n + 1) // (l.size + l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN sizes s USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), rows_of AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM cells WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM rows_of
+QUALIFY part = 'pair' OR rank <= 200
+"""
