@@ -200,3 +200,54 @@ SELECT lang, source, part, item, value,
 FROM rows_of
 QUALIFY part = 'pair' OR rank <= 200
 """
+
+
+CLUSTERS, CLUSTER_ROUNDS = 8, 10
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from limpid.llm.centroids import cluster_vectors
+
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=CLUSTERS, rounds=CLUSTER_ROUNDS, dims=64, scale=1024, seed=3)
+
+
+def _centroid_sql() -> str:
+    """Each round as two steps over (vector, dimension) cells."""
+
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT r, c, dist FROM (
+    SELECT x.r, m.c, sum((x.x - m.x) * (x.x - m.x)) AS dist FROM cells x JOIN c{i} m USING (d) GROUP BY x.r, m.c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, c) = 1)"""
+
+    def moved(i: int) -> str:
+        return f"""c{i + 1} AS MATERIALIZED (
+  SELECT m.c, m.d, CASE WHEN t.n IS NULL THEN m.x ELSE ((t.s - ((t.s % t.n) + t.n) % t.n) // t.n)::BIGINT END AS x
+  FROM c{i} m LEFT JOIN (SELECT a.c, x.d, sum(x.x) AS s, count(*) AS n FROM a{i} a JOIN cells x USING (r) GROUP BY a.c, x.d) t
+    ON m.c = t.c AND m.d = t.d)"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{moved(i)}" for i in range(CLUSTER_ROUNDS))
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x::DOUBLE), false))) = 64
+), cells AS MATERIALIZED (
+  SELECT r, d, v[d] AS x FROM whole, range(1, 65) n(d)
+), c0 AS MATERIALIZED (
+  SELECT c, d, v[d] AS x
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM whole QUALIFY c < {CLUSTERS}), range(1, 65) n(d)
+),
+{steps},
+{assigned(CLUSTER_ROUNDS)},
+named AS (
+  SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{CLUSTER_ROUNDS} GROUP BY c
+)
+SELECT w.vec_id, a.c::INT AS cluster, a.dist::BIGINT AS distance,
+  (sum(a.dist) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.dist) OVER ())::BIGINT AS inertia, n.centroid_sha256
+FROM a{CLUSTER_ROUNDS} a JOIN whole w USING (r) JOIN named n USING (c)
+"""
+
+
+SQL["op11_centroids"] = _centroid_sql()
