@@ -55,4 +55,4 @@ def duplicate_members(df: DataFrame, keys: Sequence[str], order: str) -> DataFra
 
 def sort_by_keys(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Sorted by the keys with nulls last; ``order`` breaks ties, so a common key splits by range."""
-    return df.orderBy(*[F.asc_nulls_last(k) for k in keys], order)
+    return df.orderBy(*[named(k).asc_nulls_last() for k in keys], named(order))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limpid.functions.names import named
 from limpid.functions.text import to_number
 from limpid.operators.keys import HEAVY_PARTS, flag_members, with_key_aggregates
 from limpid.rules import DEFAULT, Rules
 
 
 def _has_session(number: int, rules: Rules) -> Column:
-    same = to_number(F.col(rules.cols.session)) == number
+    same = to_number(named(rules.cols.session)) == number
     return F.bool_or(F.coalesce(same, F.lit(False)))
 
 
@@ -22,10 +23,11 @@ def pairs_without_first(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     two booleans map-side, so neither set is shuffled row by row.
     """
     first, second = rules.sessions
-    per_pair = df.groupBy(*rules.cols.pair).agg(
+    pair = [named(c) for c in rules.cols.pair]
+    per_pair = df.groupBy(*pair).agg(
         _has_session(first, rules).alias("_first"), _has_session(second, rules).alias("_second")
     )
-    return per_pair.where(F.col("_second") & ~F.col("_first")).select(*rules.cols.pair)
+    return per_pair.where(F.col("_second") & ~F.col("_first")).select(*pair)
 
 
 def mark_pairs(df: DataFrame, pairs: DataFrame, name: str, rules: Rules = DEFAULT) -> DataFrame:
@@ -49,4 +51,4 @@ def flag_second_without_first(
 
 
 def distinct_pairs(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    return df.select(*rules.cols.pair).distinct()
+    return df.select(*[named(c) for c in rules.cols.pair]).distinct()

@@ -59,18 +59,71 @@ def test_flags_and_aggregates(skewed, parts):
     )
 
 
-def test_heavy_keys_are_few_and_found(skewed):
-    keyed = skewed.withColumn("_key", F.struct(*KEYS))
-    heavy = [tuple(r[0]) for r in keys.heavy_keys(keyed, 8).collect()]
-    assert heavy == [("hot", "hot")]
-    assert keys.heavy_keys(keyed, 4096).count() < 4096
-
-
-def test_hot_rows_do_not_go_through_the_window(skewed):
-    """The cold branch holds no row of the heavy key."""
-    hot, cold = keys._split(skewed, KEYS, 8)
-    assert cold.where("a = 'hot'").count() == 0
-    assert hot.count() == 2000
+def test_heavy_keys_are_few_and_found(spark, skewed):
+    hot = skewed.where("a = 'hot'").select(F.xxhash64(*KEYS)).first()[0]
+    assert keys.heavy_hashes(skewed, KEYS, 8) == [hot]
+    assert hot in keys.heavy_hashes(skewed, KEYS, 4096)
+    # Every key above the bound is found among many light ones, and none far below it.
+    many = spark.range(400_000).selectExpr("if(id % 50 = 0, 1, if(id % 100 = 1, 2, if(id % 400 = 3, 3, id))) as k").repartition(16)
+    expected = [r.h for r in many.groupBy("k").count().where("count > 400000 / 256").select(F.xxhash64("k").alias("h")).collect()]
+    assert sorted(keys.heavy_hashes(many, ["k"], 256)) == sorted(expected) and len(expected) == 2
+    assert keys.heavy_hashes(many.limit(0), ["k"], 256) == []
+    assert keys.heavy_hashes(spark.range(400_000), ["id"], 256) == []
+
+
+def _plan(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_one_read_and_one_shuffle(spark, tmp_path, skewed, capsys):
+    """Without heavy keys the table is scanned and shuffled once; with them rows go by key and salt, or key and block."""
+    skewed.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    even = df.where("a != 'hot'")
+    members = spark.createDataFrame([("k1", "x")], "a string, b string")
+    wide = "ReadSchema: struct<line_no:bigint,a:string,b:string>"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for make, part in (
+            (lambda t, p: keys.flag_shared_key(t, KEYS, "f", p), "_salt"),
+            (lambda t, p: keys.flag_members(t, members, KEYS, "f", p), "_salt"),
+            (lambda t, p: keys.with_row_number(t, KEYS, "line_no", parts=p, block=500), "_block"),
+        ):
+            plan = _plan(make(even, 2), capsys)
+            assert plan.count("FileScan") == 1 and plan.count("Exchange") - plan.count("ExistingRDD") == 1
+            plan = _plan(make(df, 8), capsys)
+            assert any(part in line for line in plan.splitlines() if "Exchange hashpartitioning(_key" in line)
+            if part == "_salt":
+                assert plan.count(wide) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_heavy_key_is_dealt_over_many_groups(skewed):
+    spread = skewed.where("a = 'hot'").select(keys._spread(skewed).alias("s")).groupBy("s").count()
+    assert spread.count() > 500 and spread.agg(F.max("count")).first()[0] < 20
+
+
+def test_copies_in_many_tasks_are_dealt_too(spark):
+    df = spark.range(20_000, numPartitions=40).select(F.lit("x").alias("k"))
+    assert df.select(keys._spread(df).alias("s")).distinct().count() == 40
+    assert keys.with_key_aggregates(df, ["k"], {"n": F.count(F.lit(1))}).where("n = 20000").count() == 20_000
+
+
+def test_names_with_signs(spark):
+    df = spark.createDataFrame([(1, "x", 5), (2, "x", 6), (3, None, 7), (4, None, 8), (5, "y", 9)], "`line.no` int, `a.b` string, `c``d` int")
+    for parts in (2, 4096):
+        flagged = keys.flag_shared_key(df, ["a.b"], "shared.key", parts)
+        assert {r[0]: r[3] for r in flagged.collect()} == {1: True, 2: True, 3: True, 4: True, 5: False}
+        later = keys.flag_later_copies(df, ["a.b"], "line.no", "copy", parts)
+        assert {r[0] for r in later.where("copy").collect()} == {2, 4}
+        numbered = keys.with_row_number(df, ["a.b"], "line.no", "n", parts, block=1)
+        assert {r[0]: r.n for r in numbered.collect()} == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1}
+        member = keys.flag_members(df, df.where("`a.b` is null").select("`a.b`").distinct(), ["a.b"], "m", parts)
+        assert {r[0] for r in member.where("m").collect()} == {3, 4}
+    assert keys.keep_first(df, ["a.b"], "line.no").count() == 3
+    assert keys.count_copies(df, ["a.b", "c`d"]).first().copies == 0
 
 
 def test_keep_first(skewed):
