@@ -167,8 +167,9 @@ def flag_members(
         return keyed.join(marks, _KEY, "left").select(*own, F.coalesce(named(name), F.lit(False)).alias(name))
     heavy = marks.where(F.col(_HASH).isin(hashes)).select(_KEY, F.lit(True).alias(_HOT))
     salt = F.when(_hashed(keys).isin(hashes), _spread(df)).otherwise(0)
-    dealt = keyed.withColumn(_SALT, salt).join(F.broadcast(heavy), _KEY, "left")
-    met = dealt.join(marks.select(_KEY, F.lit(0).alias(_SALT), name), [_KEY, _SALT], "left")
+    # Key and salt in one struct: Spark would take a salt that is 0 for all members out of the join's keys.
+    dealt = keyed.join(F.broadcast(heavy), _KEY, "left").withColumn(_SALT, F.struct(_KEY, salt))
+    met = dealt.join(marks.select(F.struct(_KEY, F.lit(0)).alias(_SALT), name), _SALT, "left")
     return met.select(*own, F.coalesce(named(name), F.col(_HOT), F.lit(False)).alias(name))
 
 
