@@ -38,7 +38,7 @@ LEAST = 3
 SCALE = 1_000_000_000
 RANKS = 200
 # Bytes of text that are counted at once, and combinations of a node and an ancestor in one Arrow batch.
-BYTES = 8 << 20
+BYTES = 4 << 20
 BATCH = 1 << 17
 
 
