@@ -7,6 +7,7 @@ table of any size reduces to its distinct values before anything moves.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from pyspark.sql import types as T
 
 from limpid.functions.names import named, nan_as_null
 from limpid.operators.keys import count_copies
-from limpid.operators.quantiles import quantiles
+from limpid.operators.quantiles import column_quantiles
 from limpid.rules import DEFAULT, Rules
+from limpid.sources.shared import stored_table
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -89,99 +91,164 @@ def shown_values(df: DataFrame, column: str, limit: int = 20) -> DataFrame:
     return top_values(df, column, limit)
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, num, value) per cell; ``num`` orders the values of numeric columns."""
+# Values of up to so many bytes are counted as they are, longer ones by a digest of 128 bits.
+SHORT = 32
+# So many candidates for the smallest of equally frequent long values are fetched at once.
+FETCHED = 10_000
+
+
+def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(c, num, value) per cell; c is the column's place, ``num`` orders the values of numeric columns."""
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
     cells = [
         F.struct(
-            F.lit(c).alias("column_name"),
+            F.lit(i).alias("c"),
             (named(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("num"),
             named(c).cast("string").alias("value"),
         )
-        for c in columns
+        for i, c in enumerate(columns)
     ]
     return df.select(F.inline(F.array(*cells)))
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def _keyed(cells: DataFrame) -> DataFrame:
+    """(c, num, short, digest, value): numbers and short values are their own key, of others the digest is."""
+    long = F.col("num").isNull() & (F.octet_length("value") > SHORT)
+    return cells.select(
+        "c", "num", F.when(~long, F.col("value")).alias("short"), F.when(long, F.unhex(F.md5("value"))).alias("digest"), "value"
+    )
+
+
+def _least_text(keyed: DataFrame, winners: DataFrame, fetched: int) -> DataFrame:
+    """(c, text): the smallest text of each column among the winners (c, digest).
+
+    A few of them, those with the least digests, are fetched: the least of their texts on each task, so no more texts than
+    that are shuffled. If a column has more winners, those with a smaller text are winners of the next round; as the ones
+    fetched are as good as drawn at random, a round leaves about 1/fetched of them.
+    """
+    known = None
+    while True:
+        first = Window.partitionBy("c").orderBy("digest")
+        some = winners.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= fetched).drop("_n")
+        texts = keyed.join(F.broadcast(some), ["c", "digest"]).groupBy("c").agg(F.min("value").alias("text"))
+        known = texts if known is None else known.unionByName(texts)
+        more = winners.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fetched).collect()  # a row a column at most
+        if not more:
+            return known.groupBy("c").agg(F.min("text").alias("text"))
+        bound = {r["c"]: r["text"] for r in texts.where(F.col("c").isin([r["c"] for r in more])).collect()}
+        below = F.lit(False)
+        for c, text in bound.items():
+            below = below | ((F.col("c") == c) & (F.col("value") < text))
+        smaller = keyed.where(F.col("digest").isNotNull() & below).select("c", "digest").distinct()
+        winners = stored_table(winners.join(smaller, ["c", "digest"], "left_semi"), "winners")
+
+
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, fetched: int = FETCHED) -> DataFrame:
     """(column_name, data_type, distinct_count, missing, missing_pct, top_value, top_count).
 
-    The top value is the most frequent one, the smallest of those in a tie.
+    The top value is the most frequent one, the smallest of those in a tie: by number, then by text.
+
+    One read counts the cells of all columns. Long values are counted by digest, so none is shuffled; the counts are written
+    to the shared folder. Only if a column's most frequent values are long ones, their text is looked up in a second read.
     """
-    columns = list(columns or df.columns)
-    per_value = _long(nan_as_null(df), columns).groupBy("column_name", "num", "value").agg(_rows().alias("n"))
-    present = F.col("value").isNotNull()
-    best = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), "num", "value")))
-    kinds = F.create_map(*[F.lit(x) for c, t in df.dtypes if c in columns for x in (c, t)])
-    missing = F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0))
-    return per_value.groupBy("column_name").agg(
+    return _profiled(df, list(columns or df.columns), fetched).drop("rows")
+
+
+def _profiled(df: DataFrame, columns: Sequence[str], fetched: int = FETCHED) -> DataFrame:
+    """``column_profile`` with the number of ``rows``."""
+    kinds = dict(df.dtypes)
+    cells = _cells(nan_as_null(df.select(*[named(c) for c in columns])), columns)
+    keyed = _keyed(cells)
+    counts = stored_table(keyed.groupBy("c", "num", "short", "digest").agg(_rows().alias("n")), "counts")
+    present = F.col("short").isNotNull() | F.col("digest").isNotNull()
+    per_column = counts.groupBy("c").agg(
         F.count_if(present).alias("distinct_count"),
-        missing.alias("missing"),
-        (F.lit(100.0) * missing / F.sum("n")).alias("missing_pct"),
-        best.alias("best"),
-    ).select(
-        "column_name",
-        F.element_at(kinds, F.col("column_name")).alias("data_type"),
+        F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("missing"),
+        F.sum("n").alias("rows"),
+        F.max(F.when(present, F.col("n"))).alias("top_count"),
+    )
+    top = per_column.select("c", "top_count")
+    winners = counts.where(present).join(F.broadcast(top), "c").where("n = top_count")
+    best = winners.groupBy("c").agg(
+        F.min(F.when(F.col("short").isNotNull(), F.struct("num", F.col("short").alias("value")))).alias("best"),
+        F.count("digest").alias("long"),
+    )
+    found = per_column.join(best, "c", "left")
+    long = {r["c"]: r["top_count"] for r in found.where("long > 0").select("c", "top_count").collect()}  # a row a column at most
+    # Where no value comes twice, every value is a winner: the smallest is a plain minimum.
+    alone = [c for c, n in long.items() if n == 1]
+    tied = [c for c, n in long.items() if n > 1]
+    texts = None
+    if alone:
+        texts = keyed.where(F.col("c").isin(alone) & F.col("digest").isNotNull()).groupBy("c").agg(F.min("value").alias("text"))
+    if tied:
+        some = winners.where(F.col("c").isin(tied) & F.col("digest").isNotNull()).select("c", "digest")
+        rest = _least_text(keyed, some, max(1, fetched // len(tied)))
+        texts = rest if texts is None else texts.unionByName(rest)
+    value = F.col("best.value")
+    if texts is not None:
+        found = found.join(texts, "c", "left")
+        value = F.when(value.isNull() | (F.col("text") < value), F.col("text")).otherwise(value)
+    names = F.array(*[F.lit(c) for c in columns])
+    types = F.array(*[F.lit(kinds[c]) for c in columns])
+    return found.select(
+        F.get(names, F.col("c")).alias("column_name"),
+        F.get(types, F.col("c")).alias("data_type"),
         "distinct_count",
         "missing",
-        "missing_pct",
-        F.col("best.value").alias("top_value"),
-        (-F.col("best.n")).alias("top_count"),
+        (F.lit(100.0) * F.col("missing") / F.col("rows")).alias("missing_pct"),
+        value.alias("top_value"),
+        "top_count",
+        "rows",
     )
 
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, std, min, 25 %, 50 %, 75 %, max, with exact quartiles."""
-    df = nan_as_null(df.select(named(column).alias("_x")))
-    x = F.col("_x")
-    q = quantiles(df, "_x", [0.25, 0.5, 0.75])
-    quartiles = q.select(F.struct("q0", "q1", "q2")).scalar()
-    return (
-        df.agg(
-            F.count(x).alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
-        )
-        .withColumn("q", quartiles)
-        .select(
-            "count", "mean", "std", "min",
-            F.col("q.q0").alias("p25"), F.col("q.q1").alias("p50"), F.col("q.q2").alias("p75"), "max",
-        )
+    return _described(df, [column]).drop("column_name")
+
+
+def _described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The numbers of ``describe_numeric`` for each of the columns, in two reads."""
+    found = column_quantiles(df, columns, [0.25, 0.5, 0.75], moments=True)
+    return found.select(
+        "column_name", "count", "mean", "std", F.col("least").alias("min"),
+        *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))], F.col("most").alias("max"),
     )
 
 
 def describe_all(df: DataFrame) -> DataFrame:
-    """One row per column: count; unique, top, freq for text; the numbers of A36 for numeric columns."""
+    """One row per column: count; unique, top, freq for text; the numbers of A36 for numeric columns.
+
+    Two reads for all numeric columns and those of ``column_profile`` for all others.
+    """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     text = [c for c in df.columns if c not in numeric]
-    layout = [
-        "column_name", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max",
-    ]
-    out = None
+    layout = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    nothing = lambda kind: F.lit(None).cast(kind)
+    parts = []
     if text:
-        rows = df.agg(_rows()).scalar()
-        words = column_profile(df, text).select(
-            "column_name",
-            (rows - F.col("missing")).alias("count"),
-            F.col("distinct_count").alias("unique"),
-            F.col("top_value").alias("top"),
-            F.col("top_count").alias("freq"),
-            *[F.lit(None).cast("double").alias(c) for c in layout[5:]],
+        parts.append(
+            _profiled(df, text).select(
+                "column_name",
+                (F.col("rows") - F.col("missing")).alias("count"),
+                F.col("distinct_count").alias("unique"),
+                F.col("top_value").alias("top"),
+                F.col("top_count").alias("freq"),
+                *[nothing("double").alias(c) for c in layout],
+            )
         )
-        out = words
-    for c in numeric:
-        numbers = describe_numeric(df, c).select(
-            F.lit(c).alias("column_name"),
+    if numeric:
+        numbers = _described(df, numeric).select(
+            "column_name",
             "count",
-            F.lit(None).cast("long").alias("unique"),
-            F.lit(None).cast("string").alias("top"),
-            F.lit(None).cast("long").alias("freq"),
-            *[F.col(n).cast("double").alias(n) for n in layout[5:]],
+            nothing("long").alias("unique"),
+            nothing("string").alias("top"),
+            nothing("long").alias("freq"),
+            *[F.col(n).cast("double").alias(n) for n in layout],
         )
-        out = numbers if out is None else out.unionByName(numbers)
-    return out
+        parts.append(numbers)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def missing_correlation(

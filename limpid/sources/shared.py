@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -27,6 +27,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/limpid-{uuid.uuid4().hex}/{name}"
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Writes to the shared folder and reads back, so that later steps neither repeat this one nor lose it."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

@@ -134,3 +134,82 @@ def test_table_info_and_missing(mixed):
     pdf = mixed.toPandas()
     assert {r.column_name: r.non_null for r in profile.table_info(mixed).collect()} == dict(pdf.notna().sum())
     assert profile.missing_total(mixed).first()[0] == pdf.isna().sum().sum()
+
+
+def _long_texts(spark):
+    """Texts that share their first hundred characters, many of them equally frequent."""
+    rnd = random.Random(9)
+    texts = ["same beginning " * 8 + str(rnd.randrange(10**9)) for _ in range(300)]
+    rows = [(t, rnd.choice(["x", "y"]), i) for i, t in enumerate(texts * 2)]
+    rows += [(texts[0] + "rare", None, None), (None, "y", 7)]
+    return spark.createDataFrame(rows, "`long.text` string, s string, i int").repartition(5)
+
+
+@pytest.mark.parametrize("fetched", [1, 7, 10_000])
+def test_smallest_of_many_frequent_long_texts(spark, fetched):
+    df = _long_texts(spark)
+    pdf = df.toPandas()
+    rows = {r.column_name: r for r in profile.column_profile(df, fetched=fetched).collect()}
+    for c in pdf.columns:
+        assert rows[c].distinct_count == pdf[c].nunique() and rows[c].missing == pdf[c].isna().sum()
+        assert rows[c].top_count == pdf[c].value_counts().max()
+    assert rows["long.text"].top_value == min(pdf["long.text"].value_counts()[lambda n: n == 2].index)
+    assert rows["i"].top_value == "7" and rows["s"].top_value == pdf["s"].mode()[0]
+
+
+def test_long_and_short_texts_in_a_tie(spark):
+    long = "b" * 100
+    for values, top in (([long, "c"], long), ([long, "a"], "a"), ([long, long, "a", "a"], "a"), ([long, long, "c", "c", "a"], long)):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "t string")
+        row = profile.column_profile(df).first()
+        assert (row.top_value, row.missing, row.distinct_count) == (top, 1, len(set(values)))
+
+
+def test_unique_long_texts(spark):
+    df = spark.range(500).selectExpr("concat(repeat('x', 60), id) as t", "cast(id as decimal(38, 2)) * 1000000000000000000000000000000 as d")
+    rows = {r.column_name: r for r in profile.column_profile(df).collect()}
+    assert rows["t"].top_value == "x" * 60 + "0" and rows["t"].distinct_count == 500
+    assert float(rows["d"].top_value) == 0 and rows["d"].distinct_count == 500
+
+
+def test_no_long_text_is_shuffled(spark, capsys):
+    """Before the exchange of the counts each cell is a number, a short text or a digest."""
+    df = _long_texts(spark)
+    keyed = profile._keyed(profile._cells(df, df.columns))
+    keyed.groupBy("c", "num", "short", "digest").count().explain()
+    plan = capsys.readouterr().out
+    exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "value" not in exchange
+    assert keyed.where("octet_length(short) > 32 or octet_length(digest) > 16").isEmpty()
+
+
+def _scans(df, capsys):
+    df.explain()
+    return capsys.readouterr().out.count("FileScan")
+
+
+def test_reads_do_not_grow_with_the_columns(spark, tmp_path, capsys):
+    from limpid.operators.quantiles import column_quantiles
+
+    wide = spark.range(2000).select(*[(F.col("id") * (i + 1) % 97).alias(f"n{i}") for i in range(40)])
+    wide.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    few, many = (column_quantiles(df, df.columns[:n], [0.25, 0.75]) for n in (2, 40))
+    assert _scans(few, capsys) == _scans(many, capsys)
+    pdf = df.toPandas()
+    for r in profile.describe_all(df).collect():
+        e = pdf[r.column_name].describe()
+        assert [r["count"], r["mean"], r["std"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]] == pytest.approx(list(e))
+
+
+def test_quantiles_of_columns_of_all_sorts(spark):
+    from limpid.operators.quantiles import column_quantiles
+
+    rnd = random.Random(4)
+    rows = [(rnd.gauss(0, 1), None, rnd.randrange(3), float("inf") if i % 5 else -1.0, float("nan")) for i in range(4000)]
+    df = spark.createDataFrame(rows, "`a.b` double, none int, few long, inf float, nan double")
+    got = {r.column_name: r for r in column_quantiles(df, df.columns, PROBABILITIES, accuracy=200).collect()}
+    assert got["a.b"].q == pytest.approx(np.quantile([r[0] for r in rows], PROBABILITIES), rel=1e-12)
+    assert got["few"].q == pytest.approx(np.quantile([r[2] for r in rows], PROBABILITIES))
+    assert got["none"].q == got["nan"].q == [None] * len(PROBABILITIES) and got["nan"]["count"] == 0
+    assert got["inf"].q == [-1.0, -1.0, *[float("inf")] * 5]
