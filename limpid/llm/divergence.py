@@ -37,8 +37,10 @@ from limpid.llm.storage import stored
 LEAST = 3
 SCALE = 1_000_000_000
 RANKS = 200
-# Bytes of text that are counted at once, and combinations of a node and an ancestor in one Arrow batch.
+# Bytes of text that are counted at once, term rows that a task puts into its part of the tree, about, and combinations of
+# a node and an ancestor in one Arrow batch.
 BYTES = 4 << 20
+PATHS = 1 << 15
 BATCH = 1 << 17
 
 
@@ -152,8 +154,12 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_paths(rows: DataFrame) -> DataFrame:
     """(lang, a, na, b, nb, terms): how many terms have count na in source a and nb in b, a before b, both nonzero."""
     paths = rows.groupBy("lang", "row").agg(F.count(F.lit(1)).alias("terms"))
-    ordered = paths.repartitionByRange("lang", "row").sortWithinPartitions("lang", "row")
-    combined = ordered.mapInArrow(_grow, "lang string, a string, na long, b string, nb long, terms long")
+    # Any order that keeps equal beginnings together will do: hashes of the items are short to sort and to sample. Nodes are
+    # told apart by their items, so two items of one hash make at most a node more.
+    order = [F.hash("lang"), F.transform("row", lambda i: F.hash(i["source"], i["n"]))]
+    parts = 1 + rows.count() // PATHS
+    ordered = paths.withColumns({"_l": order[0], "_r": order[1]}).repartitionByRange(parts, "_l", "_r").sortWithinPartitions("_l", "_r")
+    combined = ordered.drop("_l", "_r").mapInArrow(_grow, "lang string, a string, na long, b string, nb long, terms long")
     return combined.groupBy("lang", "a", "na", "b", "nb").agg(F.sum("terms").alias("terms"))
 
 
