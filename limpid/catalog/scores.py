@@ -630,7 +630,7 @@ add(
 add(
     "kpi_delta",
     lambda s, d: six(
-        history.kpi_delta(_ingested(s, d), fr.cleaned_record(s, d), _raw_scores(s, d), _cleaned_scores(s, d))
+        history.kpi_delta(scoring.scores_d(_ingested(s, d), with_rows=True), scoring.scores_d(fr.cleaned_record(s, d), with_rows=True))
     ),
     sql(
         RAW_SCORES + CLEANED_SCORES

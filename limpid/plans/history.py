@@ -89,8 +89,8 @@ def report_by_score(report: DataFrame, label: str = "Score Global") -> DataFrame
 
 def compare(before: DataFrame, after: DataFrame, shown: bool = False) -> DataFrame:
     """(dimension, before, after, gain) of two score rows; a score missing before counts as 0."""
-    dimensions = [c for c in after.columns if c != "global_score"]
-    old = [c for c in before.columns if c != "global_score"]
+    dimensions = [c for c in after.columns if c not in ("global_score", "rows")]
+    old = [c for c in before.columns if c not in ("global_score", "rows")]
     joined = after.unpivot([], dimensions, "dimension", "after").join(
         before.unpivot([], old, "dimension", "before"), "dimension", "left"
     )
@@ -106,17 +106,15 @@ def compare(before: DataFrame, after: DataFrame, shown: bool = False) -> DataFra
     return joined.select("dimension", b.alias("before"), "after", gain.alias("gain"))
 
 
-def kpi_delta(
-    raw: DataFrame, cleaned: DataFrame, raw_scores: DataFrame, cleaned_scores: DataFrame
-) -> DataFrame:
-    """One row: rows, global score and distribution after cleaning, each with its change."""
-    was = raw_scores.select(F.struct("global_score", "Distribution")).scalar()
-    rows_before = raw.agg(F.count(F.lit(1))).scalar()
-    rows_after = cleaned.agg(F.count(F.lit(1))).scalar()
-    row = cleaned_scores.withColumns({"was": was, "n_before": rows_before, "n_after": rows_after})
-    return row.select(
-        F.col("n_after").alias("rows"),
-        (F.col("n_after") - F.col("n_before")).alias("rows_delta"),
+def kpi_delta(raw_scores: DataFrame, cleaned_scores: DataFrame) -> DataFrame:
+    """One row: rows, global score and distribution after cleaning, each with its change.
+
+    Both are score rows with the number of ``rows``, so no table is read for its rows alone.
+    """
+    was = raw_scores.select(F.struct("global_score", "Distribution", "rows")).scalar()
+    return cleaned_scores.withColumn("was", was).select(
+        "rows",
+        (F.col("rows") - F.col("was.rows")).alias("rows_delta"),
         "global_score",
         (F.col("global_score") - F.col("was.global_score")).alias("global_delta"),
         F.col("Distribution").alias("distribution"),

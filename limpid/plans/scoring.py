@@ -4,10 +4,10 @@
 * dashboard profile (``*_d``): percentages over ingested or cleaned records;
 * exploration profile (``*_e``): rounded percentages over the ragged table.
 
-A whole score row costs one pass for all plain rates, which shuffles nothing but
-one row per task, and one count per (student, course, session) for uniqueness
-and the pair rule. Both shrink hot keys map-side. ``by`` scores batches instead of
-the whole table.
+A whole score row reads its table twice: once for all plain rates and the share of
+each session, counted per session, and once for uniqueness and the pair rule, counted
+per (student, course, session). Both shrink hot keys map-side, and the second reads the
+key columns only. ``by`` scores batches instead of the whole table.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from limpid.functions.names import named
 from limpid.functions.text import BLANK_OR_NULL_WORD, has_text, null_if, to_number
 from limpid.operators.keys import count_copies
 from limpid.operators.quantiles import quantiles
@@ -34,6 +35,22 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def _present(df: DataFrame, name: str) -> Column:
+    """Neither null nor, in a column of floating numbers, NaN."""
+    there = named(name).isNotNull()
+    return there & ~F.isnan(named(name)) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else there
+
+
+def _per_column(df: DataFrame, columns: Sequence[str], percent: Sequence[Column]) -> DataFrame:
+    """(column_name, pct, mean_pct) of aggregates, one for each column; names may hold any characters."""
+    wide = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(percent)])
+    cells = [F.col(f"_{i}") for i in range(len(columns))]
+    mean = reduce(lambda a, b: a + b, cells) / len(columns)
+    return wide.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), x.alias("pct"), mean.alias("mean_pct")) for c, x in zip(columns, cells)]))
+    )
+
+
 def _share(test: Column) -> Column:
     """Share of rows where ``test`` is true; null tests count as false, no rows give null."""
     return F.try_divide(F.count_if(test).cast("double"), _rows())
@@ -63,7 +80,7 @@ def _combine(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
 
 def completeness_n(columns: Sequence[str]) -> Column:
     """Non-blank cells over all cells."""
-    filled = reduce(lambda a, b: a + b, [F.count_if(has_text(F.col(c))) for c in columns])
+    filled = reduce(lambda a, b: a + b, [F.count_if(has_text(named(c))) for c in columns])
     return _ratio(filled, _rows() * len(columns))
 
 
@@ -155,7 +172,7 @@ def outlier_score_n(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 
 
 def scores_n(df: DataFrame, rules: Rules = DEFAULT, helpers: Sequence[str] = ()) -> DataFrame:
-    """One row: the seven notebook dimensions and ``global_score``."""
+    """One row: the seven notebook dimensions and ``global_score``, from two reads."""
     columns = [c for c in df.columns if c not in helpers]
     plain = df.agg(
         completeness_n(columns).alias("completude"),
@@ -163,15 +180,17 @@ def scores_n(df: DataFrame, rules: Rules = DEFAULT, helpers: Sequence[str] = ())
         accuracy_n(rules).alias("exactitude"),
         session_balance_n(rules).alias("distribution"),
         schema_integrity_n(rules).alias("schema_integrity"),
+        (1 - _share(grade_absent(rules))).alias("without_grade"),
     )
-    row = _combine(
-        [
-            plain,
-            coherence_n(df, rules).withColumnRenamed("score", "coherence"),
-            uniqueness(df, rules).withColumnRenamed("score", "unicite"),
-        ],
-        (),
-    )
+    if rules.compat:
+        row = _combine([plain.withColumnRenamed("without_grade", "coherence"), uniqueness(df, rules).withColumnRenamed("score", "unicite")], ())
+    else:
+        # Uniqueness comes with the count of pairs.
+        keyed = _pair_counts(df, rules).select(
+            (1 - _ratio(F.col("incoherent"), F.col("pair_rows"))).alias("coherence"),
+            (1 - _ratio(F.col("pair_rows") - F.col("distinct_keys"), F.col("pair_rows"))).alias("unicite"),
+        )
+        row = _combine([plain, keyed], ())
     order = ["completude", "unicite", "coherence", "validite", "exactitude", "distribution", "schema_integrity"]
     total = reduce(lambda a, b: a + b, [F.col(k) * w for k, w in NOTEBOOK_WEIGHTS.items()])
     return row.select(*order).withColumn("global_score", total)
@@ -180,30 +199,39 @@ def scores_n(df: DataFrame, rules: Rules = DEFAULT, helpers: Sequence[str] = ())
 # --- dashboard profile ------------------------------------------------------------------
 
 
-def _present_d(df: DataFrame, name: str) -> Column:
-    """Share of cells of one column that are not missing; word tests apply to text only."""
-    text = isinstance(df.schema[name].dataType, T.StringType)
-    test = f"`{name}` is not null" + (f" and not rlike(`{name}`, r'{BLANK_OR_NULL_WORD}')" if text else "")
-    return F.expr(f"try_divide(double(count_if({test})), count(1)) * 100")
+def _filled(df: DataFrame, name: str) -> Column:
+    """Rows whose cell of that column is not missing; word tests apply to text only."""
+    there = _present(df, name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        there &= ~named(name).rlike(BLANK_OR_NULL_WORD)
+    return F.count_if(there)
+
+
+def _percent(part: Column, rows: Column) -> Column:
+    return F.try_divide(part.cast("double"), rows) * 100
 
 
 def completeness_d(df: DataFrame, helpers: Sequence[str] = ()) -> DataFrame:
-    """(column_name, pct, mean_pct): completeness per column and its mean over all columns."""
+    """(column_name, pct, mean_pct): completeness per column and its mean over all columns; NaN is missing."""
     columns = [c for c in df.columns if c not in helpers]
-    wide = df.agg(*[_present_d(df, c).alias(c) for c in columns])
-    mean = reduce(lambda a, b: a + b, [F.col(c) for c in columns]) / len(columns)
-    return wide.withColumn("mean_pct", mean).unpivot(["mean_pct"], columns, "column_name", "pct")
+    return _per_column(df, columns, [_percent(_filled(df, c), _rows()) for c in columns])
 
 
-def validity_d(df: DataFrame, rules: Rules = DEFAULT) -> Column:
-    """Session is 1 or 2 once a trailing .0 is gone, and the code is known or missing; in %."""
+def _valid(df: DataFrame, rules: Rules) -> Column | None:
+    """Session is 1 or 2 once a trailing .0 is gone, and the code is known or missing."""
     c = rules.cols
     if c.session not in df.columns or c.status not in df.columns:
-        return F.when(_rows() >= 0, F.lit(0.0))
+        return None
     session = F.regexp_replace(F.col(c.session).cast("string"), r"\.0$", "")
     status = null_if(F.col(c.status).cast("string"), NULL_WORDS)
     known = status.isin(*rules.status_codes) | status.isNull()
-    return _share(session.isin(*[str(s) for s in rules.sessions]) & known) * 100
+    return session.isin(*[str(s) for s in rules.sessions]) & known
+
+
+def validity_d(df: DataFrame, rules: Rules = DEFAULT) -> Column:
+    """% of rows with a valid session and code; 0 without these columns."""
+    test = _valid(df, rules)
+    return F.when(_rows() >= 0, F.lit(0.0)) if test is None else _share(test) * 100
 
 
 def coherence_d(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
@@ -223,11 +251,14 @@ def distribution_d(df: DataFrame, column: str | None = None, rules: Rules = DEFA
     if name not in df.columns:
         return df.groupBy(*by).agg(F.when(_rows() >= 0, F.lit(100.0)).alias("score"))
     counts = df.groupBy(*by, name).agg(_rows().alias("n"))
-    n = F.when(F.col(name).isNotNull(), F.col("n"))
+    return counts.groupBy(*by).agg(_entropy_d(F.when(F.col(name).isNotNull(), F.col("n"))).alias("score"))
+
+
+def _entropy_d(n: Column) -> Column:
+    """Entropy in % of counts ``n``, one row per value."""
     k = F.count(n)
     entropy = F.log2(F.sum(n)) - F.sum(n * F.log2(n)) / F.sum(n)
-    score = F.when(k == 0, 0.0).when(k == 1, 100.0).otherwise(100 * entropy / F.log2(k))
-    return counts.groupBy(*by).agg(score.alias("score"))
+    return F.when(k == 0, 0.0).when(k == 1, 100.0).otherwise(100 * entropy / F.log2(k))
 
 
 def schema_integrity_d(df: DataFrame, rules: Rules = DEFAULT) -> Column:
@@ -237,6 +268,30 @@ def schema_integrity_d(df: DataFrame, rules: Rules = DEFAULT) -> Column:
     return _share(~F.col(rules.cols.row_status).eqNullSafe("INVALID")) * 100
 
 
+def _plain_d(df: DataFrame, columns: Sequence[str], rules: Rules, by: Sequence[str]) -> DataFrame:
+    """(by…, rows, complete, valid, schema, spread) from one read: counts per session, added up."""
+    c = rules.cols
+    keys = [*by, c.session] if c.session in df.columns else list(by)
+    valid = _valid(df, rules)
+    tests = {
+        "_n": _rows(),
+        "_valid": F.count_if(valid) if valid is not None else F.lit(None).cast("long"),
+        "_schema": F.count_if(~F.col(c.row_status).eqNullSafe("INVALID")) if c.row_status in df.columns else F.lit(None).cast("long"),
+        **{f"_{i}": _filled(df, name) for i, name in enumerate(columns)},
+    }
+    counts = df.groupBy(*keys).agg(*[x.alias(n) for n, x in tests.items()])
+    rows = F.sum("_n")
+    complete = reduce(lambda a, b: a + b, [_percent(F.sum(f"_{i}"), rows) for i in range(len(columns))]) / len(columns)
+    spread = _entropy_d(F.when(F.col(c.session).isNotNull(), F.col("_n"))) if c.session in df.columns else F.max(F.lit(100.0))
+    return counts.groupBy(*by).agg(
+        F.coalesce(rows, F.lit(0)).alias("rows"),
+        complete.alias("complete"),
+        (_percent(F.sum("_valid"), rows) if valid is not None else F.coalesce(F.max(F.lit(0.0)), F.lit(0.0))).alias("valid"),
+        (_percent(F.sum("_schema"), rows) if c.row_status in df.columns else F.coalesce(F.max(F.lit(100.0)), F.lit(100.0))).alias("schema"),
+        F.coalesce(spread, F.lit(100.0)).alias("spread"),
+    )
+
+
 def scores_d(
     df: DataFrame,
     rules: Rules = DEFAULT,
@@ -244,23 +299,19 @@ def scores_d(
     by: Sequence[str] = (),
     with_schema: bool = False,
     renormalize: bool = False,
+    with_rows: bool = False,
 ) -> DataFrame:
-    """One row (per batch): the six dashboard dimensions to two digits and ``global_score``.
+    """One row (per batch): the six dashboard dimensions to two digits and ``global_score``, from two reads.
 
     The weights add up to 0.80, so 80 is the maximum; ``renormalize`` divides by
-    their sum. ``with_schema`` adds the seventh dimension with its weight of 0.20.
+    their sum. ``with_schema`` adds the seventh dimension with its weight of 0.20, ``with_rows`` the number of ``rows``.
     """
     columns = [c for c in df.columns if c not in helpers and c not in by]
-    complete = reduce(lambda a, b: a + b, [_present_d(df, c) for c in columns]) / len(columns)
-    plain = df.groupBy(*by).agg(
-        complete.alias("complete"), validity_d(df, rules).alias("valid"), schema_integrity_d(df, rules).alias("schema")
-    )
-    keyed = _pair_counts(df, rules, by)
-    spread = distribution_d(df, rules=rules, by=by).withColumnRenamed("score", "spread")
-    row = _combine([plain, keyed, spread], by)
+    row = _combine([_plain_d(df, columns, rules, by), _pair_counts(df, rules, by)], by)
     two = lambda c: F.round(c, 2)
     scored = row.select(
         *by,
+        *(["rows"] if with_rows else []),
         two(F.col("complete")).alias("Complétude"),
         two(100 * _ratio(F.col("distinct_keys"), F.col("pair_rows"))).alias("Unicité"),
         two(_coherence_d()).alias("Cohérence"),
@@ -291,11 +342,9 @@ def _two_e(c: Column) -> Column:
 
 
 def completeness_e(df: DataFrame, helpers: Sequence[str] = ()) -> DataFrame:
-    """(column_name, pct, mean_pct): non-null share per column to two digits, and the mean."""
+    """(column_name, pct, mean_pct): non-missing share per column to two digits, and the mean; NaN is missing."""
     columns = [c for c in df.columns if c not in helpers]
-    wide = df.agg(*[_two_e(_share(F.col(c).isNotNull()) * 100).alias(c) for c in columns])
-    mean = reduce(lambda a, b: a + b, [F.col(c) for c in columns]) / len(columns)
-    return wide.withColumn("mean_pct", mean).unpivot(["mean_pct"], columns, "column_name", "pct")
+    return _per_column(df, columns, [_two_e(_share(_present(df, c)) * 100) for c in columns])
 
 
 def _grade_e(rules: Rules) -> Column:
@@ -335,7 +384,7 @@ def uniqueness_e(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 def scores_e(df: DataFrame, rules: Rules = DEFAULT, helpers: Sequence[str] = ()) -> DataFrame:
     """One row: the seven exploration values and their plain mean as ``global_score``."""
     columns = [c for c in df.columns if c not in helpers]
-    rates = [_two_e(_share(F.col(c).isNotNull()) * 100) for c in columns]
+    rates = [_two_e(_share(_present(df, c)) * 100) for c in columns]
     plain = df.agg(
         (reduce(lambda a, b: a + b, rates) / len(columns)).alias("completeness"),
         accuracy_e(rules).alias("accuracy"),

@@ -230,3 +230,48 @@ def test_utc_now_ignores_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert abs((datetime.now(UTC).replace(tzinfo=None) - now).total_seconds()) < 60
+
+
+def _scans(df, capsys):
+    df.explain()
+    return capsys.readouterr().out.count("FileScan")
+
+
+def test_a_score_row_reads_its_table_twice(dirty, spark, tmp_path, capsys):
+    dirty.withColumn("batch", F.col("line_no") % 3).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    alone = df.drop("batch")
+    assert _scans(scoring.scores_d(df, helpers=("line_no",), by=("batch",)), capsys) == 2
+    assert _scans(scoring.scores_n(alone, Rules(compat=False), helpers=("line_no",)), capsys) <= 2
+    for frame in (scoring.scores_d(alone), scoring.scores_n(alone)):
+        text = frame._jdf.queryExecution().optimizedPlan().toString()
+        frame.explain("simple")
+        assert capsys.readouterr().out.count("FileScan") <= 2, text
+    both = history.compare(scoring.scores_d(df.where("batch = 0").drop("batch")), scoring.scores_d(df.where("batch = 1").drop("batch")))
+    assert _scans(both, capsys) <= 4
+
+
+def test_rows_come_with_the_scores(dirty):
+    before, after = (scoring.scores_d(x, helpers=("line_no",), with_rows=True) for x in (dirty, dirty.where("line_no < 100")))
+    row = history.kpi_delta(before, after).first()
+    assert (row.rows, row.rows_delta) == (100, -300)
+    assert row.global_delta == pytest.approx(after.first().global_score - before.first().global_score)
+    assert {r.dimension for r in history.compare(before, after).collect()} == set(DASHBOARD_ORDER[:6])
+
+
+def test_completeness_of_odd_columns(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1, "x", 2.0), (3.0, None, " ", None), (nan, 2, "NULL", None), (None, 3, None, 1.0)], "`a.b` double, `mean_pct` int, `c``d` string, pct float")
+    d = {r.column_name: (r.pct, r.mean_pct) for r in scoring.completeness_d(df).collect()}
+    assert d == {"a.b": (25.0, 43.75), "mean_pct": (75.0, 43.75), "c`d": (25.0, 43.75), "pct": (50.0, 43.75)}
+    e = {r.column_name: (r.pct, r.mean_pct) for r in scoring.completeness_e(df).collect()}
+    assert e == {"a.b": (25.0, 56.25), "mean_pct": (75.0, 56.25), "c`d": (75.0, 56.25), "pct": (50.0, 56.25)}
+    assert {r.column_name: r.pct for r in scoring.completeness_d(df, helpers=("a.b",)).collect()}.keys() == {"mean_pct", "c`d", "pct"}
+
+
+def test_scores_without_session_or_status(spark):
+    df = spark.createDataFrame([("1", "M", "1"), ("1", "M", "2")], "COD_ETU string, COD_ELP string, COD_SES string").withColumn("NOT_ELP", F.lit("9")).withColumn("COD_TRE", F.lit("V"))
+    row = scoring.scores_d(df, with_schema=True, with_rows=True).first()
+    assert (row.rows, row["Distribution"], row["Intégrité Schéma"]) == (2, 100.0, 100.0)
+    empty = scoring.scores_d(df.limit(0), with_schema=True, with_rows=True).first()
+    assert (empty.rows, empty["Distribution"], empty["Complétude"], empty["Cohérence"]) == (0, 0.0, None, 100.0)
