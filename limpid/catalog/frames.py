@@ -18,7 +18,7 @@ from limpid.operators.parsing import coerce_numeric, drop_first_row, parse_lines
 from limpid.plans.cleaning import clean_records
 from limpid.plans.history import history_row
 from limpid.plans.scoring import scores_d
-from limpid.sources.shared import new_folder
+from limpid.sources.shared import exists, new_folder
 from limpid.sources.write import write_parquet
 
 HEADER = "COD_ANU,COD_ETU,COD_ELP,NOT_ELP,COD_TRE,COD_SES"
@@ -69,7 +69,7 @@ _folders: dict[tuple[str, str, str], str] = {}
 def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
     """Folder of a table written once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _folders:
+    if key not in _folders or not exists(spark, _folders[key]):
         path = new_folder(spark, name)
         write(path)
         _folders[key] = path

@@ -161,8 +161,9 @@ def _sink_history(s, d):
     path = new_folder(s, "history")
     rows = fr.history(s, d)
     write.append_history(history.of_stage(rows, "raw").drop("stage"), path)
-    write.append_history(history.of_stage(rows, "cleaned"), path)
-    return read.read_history(s, path)
+    for _ in range(2):  # the second time, as after a failure, nothing is added
+        write.append_history(history.of_stage(rows, "cleaned"), path, "cleaned-1")
+    return read.read_history(s, path).drop("batch_id")
 
 
 add("sink_parquet", _sink_parquet, sql(f"select {ALL} from ingested"))
@@ -321,7 +322,7 @@ add(
 _ANY_NULL = " or ".join(f"{c} is null" for c in CLEANED)
 add(
     "drill_missing_rows",
-    lambda s, d: six(drill.first_incomplete_rows(fr.cleaned(s, d), "line_no")),
+    lambda s, d: six(drill.first_incomplete_rows(fr.cleaned(s, d), "line_no", 100)),
     sql(
         f"select {cols(('line_no', *CLEANED))}, (select count(*) from cleaned where {_ANY_NULL}) as incomplete_rows "
         f"from cleaned where {_ANY_NULL} order by line_no limit 100"
@@ -371,7 +372,7 @@ add(
 )
 add(
     "filter_session_value",
-    lambda s, d: fr.ingested(s, d).where(to_number(F.col("COD_SES")) == 2),
+    lambda s, d: drill.of_session(fr.ingested(s, d), 2),
     sql(f"select {ALL} from ingested where {num('COD_SES')} = 2"),
 )
 
@@ -413,7 +414,7 @@ add(
 )
 add(
     "student_missing_flag",
-    lambda s, d: fr.quarantined(s, d).select("line_no", F.col("COD_ETU").isNull().alias("etu_missing")),
+    lambda s, d: cl.flag_missing_student(fr.quarantined(s, d), "etu_missing").select("line_no", "etu_missing"),
     sql("select line_no, COD_ETU is null as etu_missing from quarantined"),
 )
 add(
@@ -705,7 +706,7 @@ def _two_parquet_folders(s, d):
 
 def _union_files(s, d):
     path = _two_parquet_folders(s, d)
-    return s.read.parquet(f"{path}/ok", f"{path}/fixed")
+    return read.read_folders(s, [f"{path}/ok", f"{path}/fixed"], fr.ingested(s, d).schema)
 
 
 add("union_files", _union_files, sql(f"select {ALL} from ingested"))
@@ -749,3 +750,45 @@ def _skipped(s, d):
 
 
 add("scan_parquet_skipped_parts", _skipped, sql("select count(*) as rows_read, cast(1 as bigint) as broken_parts from ingested"))
+
+
+def _part_states(s, d):
+    """A good part file, one without rows and a damaged one: how many of each state, and their rows."""
+    path = new_folder(s, "parts")
+    rows = fr.ingested(s, d)
+    rows.coalesce(1).write.parquet(path)
+    rows.limit(0).write.mode("append").parquet(path)
+    write_bytes(s, f"{path}/part-broken.parquet", b"no parquet")
+    states = read.part_states(s, path, rows.schema)
+    return states.groupBy("state").agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
+add(
+    "scan_parquet_part_states",
+    _part_states,
+    sql(
+        "select 'whole' as state, 1::bigint as files, count(*) as rows from ingested "
+        "union all select 'empty', 1, 0 union all select 'damaged', 1, 0"
+    ),
+)
+
+
+# --- columns with signs in their names ----------------------------------------------------
+
+_SIGNS = {"COD_ETU": "cod.etu", "COD_SES": "cod`ses"}
+
+
+def _with_signs(s, d):
+    return fr.ingested(s, d).withColumnsRenamed(_SIGNS)
+
+
+add(
+    "dup_flags_signed_names",
+    lambda s, d: keys.flag_shared_key(
+        keys.flag_later_copies(_with_signs(s, d), list(_SIGNS.values()), "line_no", "is_copy"), list(_SIGNS.values()), "is_shared"
+    ).select("line_no", "is_copy", "is_shared"),
+    sql(
+        "select line_no, row_number() over (partition by COD_ETU, COD_SES order by line_no) > 1 as is_copy, "
+        "count(*) over (partition by COD_ETU, COD_SES) > 1 as is_shared from ingested"
+    ),
+)

@@ -56,7 +56,7 @@ def _ingested(s, d):
 
 add(
     "count_rows",
-    lambda s, d: fr.ingested(s, d).agg(F.count(F.lit(1)).alias("rows")),
+    lambda s, d: profile.count_rows(fr.ingested(s, d)),
     sql("select count(*) as rows from ingested"),
 )
 
@@ -429,7 +429,7 @@ add(
 )
 add(
     "top20_values",
-    lambda s, d: profile.shown_values(fr.cleaned(s, d), "COD_ELP"),
+    lambda s, d: profile.shown_values(fr.cleaned(s, d), "COD_ELP", 20),
     sql(
         "select COD_ELP as value, count(*) as count from cleaned where COD_ELP is not null group by COD_ELP "
         "order by count desc, value limit 20"
@@ -437,7 +437,7 @@ add(
 )
 add(
     "top20_values_numeric",
-    lambda s, d: profile.shown_values(fr.cleaned(s, d), "COD_SES"),
+    lambda s, d: profile.shown_values(fr.cleaned(s, d), "COD_SES", 20),
     sql(
         "select COD_SES as value, count(*) as count from cleaned where COD_SES is not null "
         "and (select count(distinct COD_SES) from cleaned) < 50 group by COD_SES order by count desc, value limit 20"
@@ -674,3 +674,43 @@ add(
     _ODD_SQL + "select cast(-1 as bigint) as bin, count(*) as count from odd where price = '-inf'::double "
     "union all select cast(10 as bigint), count(*) from odd where price = 'inf'::double",
 )
+
+
+# --- whole tables with many columns, long texts and odd names -----------------------------
+
+_LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+add(
+    "describe_all_lineitem",
+    lambda s, d: six(profile.describe_all(fr.table(s, d, "lineitem").select(*_LINE_NUMBERS))),
+    " union all ".join(
+        _describe_sql(f"cast({c} as double)", "lineitem").replace("select ", f"select '{c}' as column_name, null::bigint as unique, null::varchar as top, null::bigint as freq, ", 1)
+        for c in _LINE_NUMBERS
+    ),
+)
+add(
+    "column_profile_documents",
+    lambda s, d: six(profile.column_profile(fr.table(s, d, "documents"), ["text", "lang", "source"])),
+    _profile_sql("documents", ["text", "lang", "source"], {}, ""),
+)
+add(
+    "top_values_extendedprice",
+    lambda s, d: profile.top_values(fr.table(s, d, "lineitem"), "l_extendedprice", 500),
+    "select l_extendedprice as value, count(*) as count from lineitem group by l_extendedprice order by count desc, value limit 500",
+)
+
+
+def _odd_names(s, d):
+    return _odd_prices(s, d).select(F.col("o_orderkey").alias("order.key"), F.col("price").alias("mean_pct"))
+
+
+def _odd_completeness(digits: int | None) -> str:
+    share = "100.0 * count(price) / count(*)"
+    pct = share if digits is None else f"round({share}, {digits})"
+    return (
+        _ODD_SQL + f", s as (select {pct} as p from odd) select 'order.key' as column_name, 100.0::double as pct, round((100 + p) / 2, 6) as mean_pct from s "
+        "union all select 'mean_pct', round(p, 6), round((100 + p) / 2, 6) from s"
+    )
+
+
+add("completeness_d_odd_columns", lambda s, d: six(scoring.completeness_d(_odd_names(s, d))), _odd_completeness(None))
+add("completeness_e_odd_columns", lambda s, d: six(scoring.completeness_e(_odd_names(s, d))), _odd_completeness(2))

@@ -43,6 +43,11 @@ def clean_year(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     return df.withColumn(year, ff.academic_year(F.col(year), rules))
 
 
+def flag_missing_student(df: DataFrame, name: str, rules: Rules = DEFAULT) -> DataFrame:
+    """True on rows without a student."""
+    return df.withColumn(name, F.col(rules.cols.student).isNull())
+
+
 def clean_student(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Keep the first row of each (student, session, course)."""
     return keep_first(df, rules.cols.key, rules.order)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limpid.functions.names import named
+from limpid.functions.text import to_number
 from limpid.operators.keys import flag_shared_key
 from limpid.rules import DEFAULT, Rules
 
@@ -25,6 +26,11 @@ def structural_anomalies(ragged: DataFrame) -> DataFrame:
     return ragged.where(F.col("EXTRA").isNotNull())
 
 
+def of_session(records: DataFrame, session: int, rules: Rules = DEFAULT) -> DataFrame:
+    """Rows of one session, whether it is written 2 or 2.0."""
+    return records.where(to_number(named(rules.cols.session)) == session)
+
+
 def invalid_rows(records: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     return records.where(F.col(rules.cols.row_status) == "INVALID")
 
@@ -37,11 +43,11 @@ def incomplete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.where(reduce(lambda a, b: a | b, tests))
 
 
-def first_incomplete_rows(df: DataFrame, order: str, limit: int = 100) -> DataFrame:
+def first_incomplete_rows(df: DataFrame, order: str, limit: int) -> DataFrame:
     """The first ``limit`` incomplete rows, each with the count of all of them."""
     found = incomplete_rows(df)
     total = found.agg(F.count(F.lit(1))).scalar()
-    return found.orderBy(order).limit(limit).withColumn("incomplete_rows", total)
+    return found.orderBy(named(order)).limit(limit).withColumn("incomplete_rows", total)
 
 
 def duplicate_members(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -23,6 +23,11 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def count_rows(df: DataFrame) -> DataFrame:
+    """One row with ``rows``; Parquet tables give it from their footers."""
+    return df.agg(_rows().alias("rows"))
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, rows, missing) per column, from one pass without a shuffle of rows; NaN is missing."""
     columns = list(columns or df.columns)
@@ -80,13 +85,20 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("share", F.col("count") / total)
 
 
-def top_values(df: DataFrame, column: str, limit: int = 20) -> DataFrame:
-    """The most frequent values; equal counts in value order."""
+def top_values(df: DataFrame, column: str, limit: int) -> DataFrame:
+    """The ``limit`` most frequent values; equal counts in value order.
+
+    How many values have each count tells the least count that is needed; only values that reach it are ordered. The counts
+    per value are made once: both uses read one exchange.
+    """
     counts = df.where(named(column).isNotNull()).groupBy(named(column).alias("value")).agg(_rows().alias("count"))
-    return counts.orderBy(F.desc("count"), "value").limit(limit)
+    # Distinct counts are few: n of them need n * n / 2 rows.
+    reach = counts.groupBy("count").agg(_rows().alias("n")).withColumn("upto", F.sum("n").over(Window.orderBy(F.desc("count"))))
+    least = reach.where(F.col("upto") >= limit).agg(F.coalesce(F.max("count"), F.lit(0))).scalar()
+    return counts.where(F.col("count") >= least).orderBy(F.desc("count"), "value").limit(limit)
 
 
-def shown_values(df: DataFrame, column: str, limit: int = 20) -> DataFrame:
+def shown_values(df: DataFrame, column: str, limit: int) -> DataFrame:
     """``top_values`` of any column. Whether ``describe_numeric`` says more of a number is the caller's choice."""
     return top_values(df, column, limit)
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,10 @@ from limpid.sources.shared import exists, has_files
 _LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
+# A table without rows is a smaller file than this.
+FOOTER = 1 << 20
+
+
 def ingested_schema(rules: Rules = DEFAULT) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in rules.cols.record])
 
@@ -113,6 +119,12 @@ def read_csv_files(spark: SparkSession, path: str, schema: T.StructType) -> Data
     )
 
 
+def read_folders(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Parquet tables in several folders as one table in one scan; columns are bound by name, folders may be missing."""
+    there = [p for p in paths if exists(spark, p)]
+    return spark.read.schema(schema).parquet(*there) if there else spark.createDataFrame([], schema)
+
+
 def _parts(spark: SparkSession, path: str):
     """Reader for part files directly in ``path``, or anywhere below when there are none."""
     reader = spark.read.option("pathGlobFilter", "part-*.parquet")
@@ -121,40 +133,68 @@ def _parts(spark: SparkSession, path: str):
 
 
 def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet part files; a file that can't be read to its end is left out whole. See ``skipped_parts``."""
+    """Parquet part files; a file that can't be read to its end is left out whole. See ``part_states``.
+
+    The files are checked by one read when this is called. What comes back is a plain scan of the good ones: Spark drops
+    the others by their names before it opens any.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    file = F.col("_metadata.file_path").alias("_file")
-    rows = _readable(spark, path, schema).select("*", file)
-    whole = _whole_files(spark, path, schema).select("_file")
-    return rows.join(whole, "_file", "left_semi").drop("_file")
+    # Names of files that are damaged: as long as that list at most.
+    damaged = [r["path"] for r in part_states(spark, path, schema).where("state = 'damaged'").select("path").collect()]
+    rows = _readable(spark, path, schema)
+    return rows.where(~F.col("_metadata.file_path").isin(damaged)) if damaged else rows
 
 
 def _readable(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return _parts(spark, path).option("ignoreCorruptFiles", True).schema(schema).parquet(path)
 
 
-def _whole_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(_file) of the part files whose every column gives as many rows as their footer counts.
+def part_states(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(path, bytes, rows, state) of each part file; state is whole, empty (a table without rows) or damaged.
 
-    The reader stops within a damaged file and keeps what it had. Counting without a column looks at footers only.
+    Spark's reader stops within a damaged file and keeps what it had. So a file is whole if reading every column gives as
+    many rows as its footer states; counting without a column looks at footers only. A file without any row is empty
+    if its footer can be parsed and says so.
     """
-    file = F.col("_metadata.file_path").alias("_file")
+    file = F.col("_metadata.file_path").alias("path")
+    # Listing only: without the content column no file is opened.
+    files = _parts(spark, path).format("binaryFile").load(path).select(file, F.col("length").alias("bytes"), "content")
     rows = _readable(spark, path, schema)
-    stated = rows.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("stated"))
+    stated = rows.select(file).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
     touched = F.hash(*[named(f.name) for f in schema.fields])
-    read = rows.select(file, touched.alias("h")).groupBy("_file").agg(F.count(F.lit(1)).alias("read"), F.bit_xor("h").alias("seen"))
+    read = rows.select(file, touched.alias("h")).groupBy("path").agg(F.count(F.lit(1)).alias("read"), F.bit_xor("h").alias("seen"))
     # Asking for the digest keeps Spark from pruning the columns, which have to be read.
-    return stated.join(read, "_file").where((F.col("stated") == F.col("read")) & F.col("seen").isNotNull()).select("_file")
+    whole = (F.col("rows") == F.col("read")) & F.col("seen").isNotNull()
+    known = stated.join(read, "path", "left").select("path", "rows", F.coalesce(whole, F.lit(False)).alias("whole"))
+    # Without rows a table is little but its footer, so larger files need no look.
+    footers = files.where(F.col("bytes") <= FOOTER).join(known, "path", "left_anti").select("path", "content")
+    empty = footers.mapInArrow(_without_rows, "path string, empty boolean")
+    state = F.when(F.col("whole"), "whole").when(F.col("empty"), "empty").otherwise("damaged")
+    return (
+        files.drop("content")
+        .join(known, "path", "left")
+        .join(empty, "path", "left")
+        .select("path", "bytes", F.when(state == "empty", 0).otherwise(F.col("rows")).alias("rows"), state.alias("state"))
+    )
+
+
+def _without_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, empty): whether a file's content is a Parquet table without rows."""
+
+    def empty(content: pa.Scalar) -> bool:
+        try:
+            return pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata.num_rows == 0
+        except (pa.ArrowException, OSError):
+            return False
+
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([empty(c) for c in batch.column(1)], pa.bool_())], names=["path", "empty"])
 
 
 def skipped_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(path, bytes) of part files that are left out: damaged anywhere, and any that are empty tables."""
-    name = F.col("_metadata.file_path").alias("path")
-    # Listing only: without the content column no file is opened.
-    listed = _parts(spark, path).format("binaryFile").load(path).select(name, F.col("length").alias("bytes"))
-    read = _whole_files(spark, path, schema).select(F.col("_file").alias("path"))
-    return listed.join(read, "path", "left_anti")
+    """(path, bytes) of part files that ``read_parts`` leaves out."""
+    return part_states(spark, path, schema).where("state = 'damaged'").select("path", "bytes")
 
 
 def history_schema(metrics: Sequence[str]) -> T.StructType:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from limpid.functions.names import named
+from limpid.sources.shared import exists
+
 
 def write_parquet(df: DataFrame, path: str, legacy: bool = False, codec: str = "snappy") -> int:
     """Replace ``path`` with the rows of ``df``; returns how many there were.
@@ -35,11 +38,24 @@ def write_csv(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def append_history(rows: DataFrame, path: str) -> None:
-    """Add score rows to the history table, creating it when absent; new columns are allowed."""
+def append_history(rows: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Add score rows to the history table, creating it when absent; new columns are allowed.
+
+    With the id of a ``batch`` the call may be repeated: rows carry it as ``batch_id``, and rows of a batch that is there
+    already are not written again. A write that fails leaves nothing, as its files appear together when it ends.
+    Returns whether rows were written.
+    """
+    if batch is not None:
+        spark = rows.sparkSession
+        if exists(spark, path):
+            history = spark.read.option("mergeSchema", True).parquet(path)
+            if "batch_id" in history.columns and not history.where(F.col("batch_id") == batch).isEmpty():
+                return False
+        rows = rows.withColumn("batch_id", F.lit(batch))
     rows.write.mode("append").parquet(path)
+    return True
 
 
-def preview(df: DataFrame, order: str, n: int = 20) -> DataFrame:
+def preview(df: DataFrame, order: str, n: int) -> DataFrame:
     """The first ``n`` rows in source order."""
-    return df.orderBy(order).limit(n)
+    return df.orderBy(named(order)).limit(n)

@@ -118,8 +118,8 @@ def test_duplicate_rows(mixed, spark):
 
 def test_shown_values_of_numeric_columns_with_many_values(spark):
     many = spark.range(60).select(F.col("id").cast("int").alias("i"), F.col("id").cast("string").alias("s"))
-    assert profile.shown_values(many, "i").count() == 20
-    assert profile.shown_values(many, "s").count() == 20
+    assert profile.shown_values(many, "i", 20).count() == 20
+    assert profile.shown_values(many, "s", 20).count() == 20
 
 
 def test_sample_is_exact_and_repeatable(spark):
@@ -213,3 +213,16 @@ def test_quantiles_of_columns_of_all_sorts(spark):
     assert got["few"].q == pytest.approx(np.quantile([r[2] for r in rows], PROBABILITIES))
     assert got["none"].q == got["nan"].q == [None] * len(PROBABILITIES) and got["nan"]["count"] == 0
     assert got["inf"].q == [-1.0, -1.0, *[float("inf")] * 5]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 40, 41, 1000])
+def test_most_frequent_values_as_sorted(spark, limit, capsys):
+    rnd = random.Random(8)
+    values = [f"v{min(rnd.randrange(60), rnd.randrange(60)):02d}" for _ in range(700)] + [f"once{i}" for i in range(50)] + [None] * 9
+    df = spark.createDataFrame([(v,) for v in values], "`a.b` string")
+    counts = {}
+    for v in values:
+        if v is not None:
+            counts[v] = counts.get(v, 0) + 1
+    expected = sorted(((v, n) for v, n in counts.items()), key=lambda x: (-x[1], x[0]))[:limit]
+    assert [tuple(r) for r in profile.top_values(df, "a.b", limit).collect()] == expected

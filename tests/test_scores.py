@@ -178,9 +178,9 @@ def test_empty_tables(records, lines, spark):
         keys.flag_later_copies(empty, ("COD_ETU",), "line_no", "f"),
         pairs.pairs_without_first(empty),
         pairs.flag_second_without_first(empty, "f"),
-        drill.first_incomplete_rows(empty, "line_no"),
+        drill.first_incomplete_rows(empty, "line_no", 100),
         drill.duplicate_members(empty, ("COD_ETU",), "line_no"),
-        profile.top_values(empty, "COD_SES"),
+        profile.top_values(empty, "COD_SES", 20),
         profile.value_counts(empty, "COD_SES"),
         profile.missing_correlation(empty),
         profile.sample_rows(empty, 5, ["line_no"]),

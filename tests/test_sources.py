@@ -1,5 +1,11 @@
 """Readers and writers against real files."""
 
+import os
+import subprocess
+import sys
+import time
+from pathlib import Path
+
 import pytest
 
 from limpid.rules import DASHBOARD_ORDER
@@ -92,3 +98,74 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_has_files(spark, records, tmp_path, pattern, found):
     write.write_parquet(records([LINE]), str(tmp_path / "p"))
     assert shared.has_files(spark, str(tmp_path / "p"), pattern) is found
+
+
+def test_empty_and_damaged_parts_are_told_apart(spark, records, tmp_path):
+    path = str(tmp_path / "parts")
+    rows = records([LINE, LINE]).drop("line_no").coalesce(1)
+    schema = read.ingested_schema()
+    rows.write.parquet(path)
+    rows.limit(0).write.mode("append").parquet(path)
+    shared.write_bytes(spark, f"{path}/part-broken.parquet", b"no parquet")
+    shared.write_bytes(spark, f"{path}/part-nothing.parquet", b"PAR1")
+    whole = next((tmp_path / "parts").glob("part-0*.parquet")).read_bytes()
+    shared.write_bytes(spark, f"{path}/part-cut.parquet", whole[:-5])
+    found = {r.path.rsplit("/", 1)[1][:8]: (r.state, r.rows) for r in read.part_states(spark, path, schema).collect() if "part-0" not in r.path}
+    assert found == {"part-bro": ("damaged", None), "part-not": ("damaged", None), "part-cut": ("damaged", None)}
+    states = [r.state for r in read.part_states(spark, path, schema).collect() if "part-0" in r.path]
+    assert sorted(states) == ["empty", "whole"]
+    assert read.read_parts(spark, path, schema).count() == 2 and read.skipped_parts(spark, path, schema).count() == 3
+
+
+def test_parts_are_read_without_a_shuffle(spark, records, tmp_path, capsys):
+    path = str(tmp_path / "parts")
+    records([LINE, LINE]).drop("line_no").coalesce(1).write.parquet(path)
+    shared.write_bytes(spark, f"{path}/part-broken.parquet", b"no parquet")
+    read.read_parts(spark, path, read.ingested_schema()).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("FileScan") == 1
+
+
+def test_an_append_may_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "history")
+    row = lambda t: spark.createDataFrame([(t, 1.0)], "timestamp string, global_score double")
+    assert write.append_history(row("t0"), path)  # rows without a batch, as before
+    assert write.append_history(row("t1"), path, "b1")
+    assert not write.append_history(row("t1"), path, "b1")
+    assert write.append_history(row("t2"), path, "b2")
+    assert sorted(r.timestamp for r in read.read_history(spark, path).collect()) == ["t0", "t1", "t2"]
+
+
+def test_folders_can_be_removed(spark):
+    before = dict(shared._made)
+    shared._made.clear()
+    try:
+        table = shared.stored_table(spark.range(3), "x")
+        folder = shared._made[spark.sparkContext.applicationId][-1]
+        assert table.count() == 3 and shared.exists(spark, folder)
+        assert shared.remove_folders(spark) == 1 and not shared.exists(spark, folder)
+        assert shared.remove_folders(spark) == 0
+    finally:
+        shared._made.update(before)
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_folders_go_with_the_driver(tmp_path, named):
+    """A session of its own; whether the shared folder is named or made by the session."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pyspark.sql import SparkSession
+from limpid.sources.shared import stored_table
+b = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+spark = (b.config("spark.checkpoint.dir", {str(tmp_path)!r}) if {named} else b).getOrCreate()
+print(stored_table(spark.range(3), "x").inputFiles()[0])
+"""
+    env = {**os.environ, "TMPDIR": str(tmp_path)}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, env=env)
+    assert "limpid-" in out.stdout, out.stderr[-2000:]
+    for _ in range(40):  # the JVM may end a little later
+        if not list(tmp_path.glob("limpid-*")):
+            break
+        time.sleep(0.25)
+    assert not list(tmp_path.glob("limpid-*"))
