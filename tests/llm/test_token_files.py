@@ -5,7 +5,9 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 
-from limpid.llm.token_files import decode_blocks, encode_blocks, read_ids, round_trip, tokenizer, write_ids
+from tokenizers import Tokenizer
+
+from limpid.llm.token_files import decode_blocks, encode_blocks, read_ids, round_trip, write_ids
 
 DATA = "/root/testdata/sf0.001/documents.parquet"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -13,7 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def brute(rows):
     """(doc_id, start, n_tokens, crc) by doc_id, missing ids first, then by text."""
-    t, start, out = tokenizer(PATH), 0, []
+    t, start, out = Tokenizer.from_file(PATH), 0, []
     for i, text in sorted(((i, t_ or "") for i, t_ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
         ids = [*t.encode(text, add_special_tokens=False).ids, 2]
         out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
@@ -21,6 +23,13 @@ def brute(rows):
     return out
 
 
+def test_names_of_special_tokens_in_a_text(spark):
+    """As the library has it: a text that holds the name gets the token."""
+    rows = [(0, "x <|endoftext|> y"), (1, "<|endoftext|>"), (2, "<|endoftext|")]
+    assert Tokenizer.from_file(PATH).encode(rows[0][1], add_special_tokens=False).ids == [87, 220, 50256, 331]
+    assert got(round_trip(spark.createDataFrame(rows, "doc_id long, text string"), PATH)) == brute(rows)
+
+
 def got(df):
     return sorted(map(tuple, df.collect()), key=lambda r: r[1])
 
