@@ -2,9 +2,10 @@
 
 Words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII. The hashes of all rolling k-word grams are joined to
 the places of equal grams in the templates; each hit votes for its diagonal, the place in the text less that in the
-template. A phrase stands where one diagonal has all of its votes. Longer templates may differ a little:
-neighbouring diagonals are merged to a span, which holds if enough of the template's grams voted and the span is not
-much longer than the template.
+template. A vote counts only if the gram's words are those of the template, compared as bytes. A phrase stands where one
+diagonal has all of its votes. Longer templates may differ a little: a diagonal holds if enough different places of the
+template voted for it; neighbouring diagonals are merged to a span, which holds if they have enough different places
+together, these cover enough of the template's words, and the span is not much longer than the template.
 
 Null and empty texts have no words. Rows stand for themselves, so repeated rows get equal answers; doc_id and
 other columns don't matter.
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from limpid.llm.arrays import U64, Slice, alphanumeric, grams, owner, text_slices, words_of
+from limpid.llm.arrays import U64, Slice, Words, alphanumeric, grams, owner, text_slices, words_of
 from limpid.llm.storage import stored
 
 #: Phrases whose every place counts, and their labels.
@@ -52,7 +53,7 @@ SLACK = 4
 
 
 def template_grams(phrases: dict[str, str], templates: dict[str, list[str]], gram: int) -> list[tuple]:
-    """(gram hash, template, label, whether a phrase, place, grams of the template, words of it, words of a gram)."""
+    """(gram hash, template, label, whether a phrase, place, grams of the template, words of it, words of a gram, the gram)."""
     out = []
     every = [(t, label, True) for t, label in phrases.items()] + [(t, label, False) for label, ts in templates.items() for t in ts]
     for number, (text, label, phrase) in enumerate(every):
@@ -60,12 +61,15 @@ def template_grams(phrases: dict[str, str], templates: dict[str, list[str]], gra
         h = words_of(Slice(0, raw, np.array([0, raw.size])), alphanumeric()).hash
         k = min(gram, h.size)
         g = grams(h, k).view(np.int64).tolist()
-        out += [(x, number, label, phrase, i, len(g), h.size, k) for i, x in enumerate(g)]
+        out += [(x, number, label, phrase, i, len(g), h.size, k, " ".join(text.split()[i : i + k])) for i, x in enumerate(g)]
     return out
 
 
-def hits(docs: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
-    """row, doc_id, n_words, hits (place and hash of each gram that some template has) of every row."""
+def hits(docs: DataFrame, known: dict[int, np.ndarray], words: dict[int, frozenset[bytes]]) -> DataFrame:
+    """row, doc_id, n_words, hits (place and hash of each gram that some template has) of every row.
+
+    known: hashes of the templates' grams by their number of words; words: by hash, the grams that have it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,6 +83,7 @@ def hits(docs: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
                     at = np.searchsorted(hashes, g)
                     at[at == hashes.size] = 0
                     place = np.flatnonzero((hashes[at] == g) & (text[k - 1 :] == text[: g.size]))
+                    place = place[[_gram(s.data, w, p, k) in words[x] for p, x in zip(place.tolist(), g[place].view(np.int64).tolist(), strict=True)]]
                     found.append((place, g[place]))
                 place, g = (np.concatenate(x) for x in zip(*found, strict=True))
                 order = np.argsort(place, kind="stable")
@@ -95,6 +100,11 @@ def hits(docs: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
     return found.withColumn("row", F.monotonically_increasing_id())
 
 
+def _gram(data: np.ndarray, w: Words, at: int, k: int) -> bytes:
+    """The k words from place `at` on, in small letters and one blank apart."""
+    return b" ".join(data[w.start[i] : w.end[i]].tobytes().lower() for i in range(at, at + k))
+
+
 def scan(
     docs: DataFrame,
     phrases: dict[str, str] = PHRASES,
@@ -106,23 +116,46 @@ def scan(
     """(rows, spans). rows: row, doc_id, n_words. spans: row, label, phrase, start, stop (words) and share of the template."""
     table = template_grams(phrases, templates, gram)
     known = {k: np.unique(np.array([t[0] for t in table if t[7] == k], np.int64).view(U64)) for k in sorted({t[7] for t in table})}
-    rows = stored(hits(docs, known), "hits")
-    places = docs.sparkSession.createDataFrame(table, "gram long, template int, label string, phrase boolean, at int, grams int, words int, k int")
+    words = {x: frozenset(t[8].encode() for t in table if t[0] == x) for x in {t[0] for t in table}}
+    rows = stored(hits(docs, known, words), "hits")
+    places = docs.sparkSession.createDataFrame(
+        table, "gram long, template int, label string, phrase boolean, at int, grams int, words int, k int, said string"
+    ).drop("said")
     voted = rows.select("row", F.explode("hits").alias("hit")).select("row", "hit.*")
     # The templates are a parameter, a few hundred rows whatever the documents.
     voted = voted.join(F.broadcast(places), "gram").withColumn("diagonal", F.col("place") - F.col("at"))
     keys = ["row", "template", "label", "phrase", "grams", "words", "k"]
-    lines = voted.groupBy(*keys, "diagonal").agg(F.count("*").alias("votes"), F.min("place").alias("lo"), F.max("place").alias("hi"))
-    exact = lines.filter("phrase AND votes = grams").selectExpr("row", "label", "phrase", "diagonal AS start", "diagonal + words AS stop", "1.0D AS share")
+    # A diagonal has each place of the template once at most.
+    lines = voted.groupBy(*keys, "diagonal").agg(F.collect_list("at").alias("places"), F.min("place").alias("lo"), F.max("place").alias("hi"))
+    own = F.size("places") / F.col("grams")
+    alone = lines.filter(F.when(F.col("phrase"), own == 1).otherwise(own >= share))
+    phrase = F.col("phrase")
+    exact = alone.select(
+        "row",
+        "label",
+        "phrase",
+        F.when(phrase, F.col("diagonal")).otherwise(F.col("lo")).alias("start"),
+        F.when(phrase, F.col("diagonal") + F.col("words")).otherwise(F.col("hi") + F.col("k")).alias("stop"),
+        own.alias("share"),
+    )
     beside = Window.partitionBy("row", "template").orderBy("diagonal")
-    merged = (
+    spans = (
         lines.filter("NOT phrase")
         .withColumn("new", (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(beside), F.lit(slack + 1)) > slack).cast("int"))
         .withColumn("span", F.sum("new").over(beside))
+        .select(*keys, "span", "diagonal", "lo", "hi", F.explode("places").alias("at"))
         .groupBy(*keys, "span")
-        .agg(F.sum("votes").alias("votes"), F.min("lo").alias("start"), (F.max("hi") + F.first("k")).alias("stop"))
-        .withColumn("share", F.least(F.lit(1.0), F.col("votes") / F.col("grams")))
-        .filter((F.col("share") >= share) & (F.col("stop") - F.col("start") <= 1.5 * F.col("words") + slack))
+        .agg(
+            F.collect_set("at").alias("places"),
+            F.min("lo").alias("start"),
+            (F.max("hi") + F.first("k")).alias("stop"),
+            (F.max("diagonal") > F.min("diagonal")).alias("several"),
+        )
+        .filter("several")
+    )
+    covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda a: F.sequence(a, a + F.col("k") - 1)))))
+    merged = spans.withColumn("share", F.size("places") / F.col("grams")).filter(
+        (F.col("share") >= share) & (covered >= share * F.col("words")) & (F.col("stop") - F.col("start") <= 1.5 * F.col("words") + slack)
     )
     return rows.select("row", "doc_id", "n_words"), exact.unionByName(merged.select("row", "label", "phrase", "start", "stop", "share"))
 
