@@ -3,11 +3,12 @@
 Each element and each run of text is a node that is content or not. Nodes have potentials from what is seen of them (tag,
 class and id words, links, length, punctuation), parent and child have joint ones; both are learned by counting on
 labelled pages. Messages go up from the leaves and down from the root (sum-product, exact on a tree); a run of text is
-kept if its marginal is over one half. Scripts, styles, comments and the head are never text.
+kept if its marginal is over one half. Scripts, styles, comments and the head are never text. Time and memory are in
+proportion to a page, whatever it holds.
 
 Character references are decoded; white space inside a block becomes one blank, blocks are trimmed and joined by one
-newline; nothing else is dropped or cut. Null and empty html give an empty text. Rows stand for themselves; page_id and
-url are passed on whatever they hold.
+newline; nothing else is dropped or cut. Null and empty html give an empty text. Rows stand for themselves, repeated ones
+too; page_id and url are passed on whatever they hold. Other columns don't matter; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -26,18 +27,22 @@ from pyspark.sql import functions as F
 
 from limpid.llm.html_pages import labelled_pages
 
-# Kinds of elements in HTML.
+# Kinds of elements in HTML. What is neither below is inline, formulas and drawings too.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object head title".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
+RAW = frozenset("script style head title iframe noembed noframes".split())
+BLOCKS = frozenset(
+    "address article aside blockquote body button caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form frame frameset h1 h2 h3 h4 h5 h6 header hgroup hr html input legend li main menu nav ol optgroup option p pre search section "
+    "select summary table tbody td textarea tfoot th thead tr ul".split()
 )
 #: An element that a start tag of one of these ends, if it is open within its list or table.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-SCOPE = frozenset("ul ol dl table body html".split())
+SCOPE = ("ul", "ol", "dl", "table", "body", "html")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+#: The end of a tag, or one attribute: name, then a value in quotes, a quote that is never closed, or a value without.
+_ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|(["'])|([^\s>]*)))?)""")
+_LONG_NUMBER = re.compile(r"&#[0-9]{8,}")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -51,74 +56,112 @@ class Node:
     linked: int = 0
 
 
+@dataclass
+class _Open:
+    """The open elements, and for each tag the depths at which it is open: nothing here depends on how many are."""
+
+    nodes: list[Node]
+    path: list[int] = field(default_factory=lambda: [0])
+    depths: dict[str, list[int]] = field(default_factory=dict)
+
+    def push(self, node: int) -> None:
+        self.depths.setdefault(self.nodes[node].tag, []).append(len(self.path))
+        self.path.append(node)
+
+    def nearest(self, tags: tuple[str, ...]) -> int:
+        """Depth of the innermost element with one of the tags; 0 if none is open."""
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=0)
+
+    def close(self, depth: int) -> None:
+        """Closes the element at that depth and all within; the root stays."""
+        while len(self.path) > max(1, depth):
+            self.depths[self.nodes[self.path.pop()].tag].pop()
+
+
+def _attributes(page: str, at: int) -> tuple[int, list[tuple[str, str]]]:
+    """Where the tag ends whose name ends at `at`, -1 if nowhere, and its attributes. Quotes may hold anything."""
+    found = []
+    while m := _ATTRIBUTE.match(page, at):
+        at = m.end()
+        if m.group(1):
+            return at, found
+        if m.group(5):
+            return -1, found
+        found.append((m.group(2), m.group(3) or m.group(4) or m.group(6) or ""))
+    return -1, found
+
+
 def parse(page: str) -> list[Node]:
-    """Block elements and runs of text (tag #text) in page order, parents first. Inline elements join their block's text."""
+    """Block elements and runs of text (tag #text) in page order, parents first. Inline elements join their block's text.
+
+    One pass without going back: time is in proportion to the page. A tag or comment without an end reaches to the page's.
+    """
     nodes = [Node("#root", -1)]
-    open_at, inline = [0], []
-    run = -1
+    stack = _Open(nodes)
+    links, run = 0, -1
     at, size = 0, len(page)
+    headless = False
     while at <= size:
-        m = _TOKEN.search(page, at)
+        m = _OPEN.search(page, at)
         text = page[at : m.start() if m else size]
         if text:
             if run < 0 and not text.isspace():
-                nodes.append(Node("#text", open_at[-1]))
+                nodes.append(Node("#text", stack.path[-1]))
                 run = len(nodes) - 1
             if run >= 0:
-                decoded = entities.unescape(text) if "&" in text else text
+                decoded = entities.unescape(_LONG_NUMBER.sub("&#99999999", text)) if "&" in text else text
                 nodes[run].text.append(decoded)
-                if "a" in inline:
+                if links:
                     nodes[run].linked += len(decoded.strip())
         if not m:
             break
-        at = m.end()
-        name = (m.group(2) or "").lower()
+        name = (m.group(3) or "").lower()
         if not name:
+            mark = "-->" if m.group(1) else ">"
+            # A comment may be <!--> too.
+            end = page.find(mark, m.start() + 2)
+            at = end + len(mark) if end >= 0 else size + 1
             continue
-        closing = bool(m.group(1))
+        closing = bool(m.group(2))
+        at, attributes = _attributes(page, m.end())
+        if at < 0:
+            break
         if name in RAW:
-            if not closing and not m.group(3).endswith("/"):
+            if not closing and page[at - 2] != "/" and not (name == "head" and headless):
                 end = _ends(name).search(page, at)
+                headless = headless or not end
                 at = end.end() if end else (at if name == "head" else size)
             continue
-        if name in INLINE:
+        if name not in BLOCKS:
             if name == "br":
                 if run >= 0:
                     nodes[run].text.append(" ")
-            elif closing:
-                if name in inline:
-                    inline.remove(name)
-            elif name not in VOID:
-                inline.append(name)
+            elif name == "a":
+                links = max(0, links + (-1 if closing else 1))
             continue
         run = -1
         if closing:
-            tags = [nodes[k].tag for k in open_at]
-            if name in tags[1:]:
-                del open_at[len(tags) - 1 - tags[::-1].index(name) :]
-                inline.clear()
+            if depth := stack.nearest((name,)):
+                stack.close(depth)
+                links = 0
             continue
-        if nodes[open_at[-1]].tag == "p":
-            open_at.pop()
-            inline.clear()
-        for depth in range(len(open_at) - 1, 0, -1):
-            tag = nodes[open_at[depth]].tag
-            if tag in ENDS.get(name, ()):
-                del open_at[depth:]
-                inline.clear()
-                break
-            if tag in SCOPE:
-                break
+        if nodes[stack.path[-1]].tag == "p":
+            stack.close(len(stack.path) - 1)
+            links = 0
+        ended = stack.nearest(ENDS.get(name, ()))
+        if ended and ended > stack.nearest(SCOPE):
+            stack.close(ended)
+            links = 0
         words, label = [name], None
-        for kind, a, b, c in _ATTRIBUTE.findall(m.group(3)):
-            value = a or b or c
-            if kind.lower() == "data-y":
+        for key, value in attributes:
+            key = key.lower()
+            if key == "data-y":
                 label = value
-            else:
+            elif key in ("class", "id", "role"):
                 words += ["." + w for w in _WORD.findall(value.lower())]
         if name not in VOID:
-            nodes.append(Node(name, open_at[-1], tuple(words), label))
-            open_at.append(len(nodes) - 1)
+            nodes.append(Node(name, stack.path[-1], tuple(words), label))
+            stack.push(len(nodes) - 1)
     return nodes
 
 
@@ -132,12 +175,13 @@ def block(node: Node) -> str:
 
 
 #: Elements that may begin another part of a page. Fixed values.
-CONTAINERS = frozenset("div section article main header footer nav aside form ul ol dl table fieldset details dialog".split())
+CONTAINERS = frozenset("div section article main header footer nav aside form fieldset details dialog".split())
+LISTS = frozenset("ul ol dl table".split())
 
 
 def kind(node: Node) -> str:
     """Which joint potential holds between a node and its parent: text and plain blocks rarely differ from it."""
-    return "#text" if node.tag == "#text" else "part" if node.tag in CONTAINERS else "block"
+    return "#text" if node.tag == "#text" else "part" if node.tag in CONTAINERS else "list" if node.tag in LISTS else "block"
 
 
 def features(node: Node) -> list[str]:
@@ -215,7 +259,7 @@ def learned() -> Model:
     odds = {f: math.log((seen[1][f] + few) / (size[1] + few)) - math.log((seen[0][f] + few) / (size[0] + few)) for f in seen[0] | seen[1]}
     pair = {
         k: tuple(math.log((pairs[k, a, b] + few) / (pairs[k, a, 0] + pairs[k, a, 1] + 2 * few)) for a in (0, 1) for b in (0, 1))
-        for k in ("#text", "block", "part")
+        for k in ("#text", "block", "list", "part")
     }
     model = Model(odds, pair, (0.0, -2.0))
     for _ in range(50):

@@ -14,6 +14,10 @@ _TEXT = (
     "x.",
 )
 _MENU = "<ul>" + "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("Home", "News", "Sport", "Contact")) + "</ul>"
+#: Menus are of any length, and their words of any kind.
+_LONG_MENU = "<ul>" + "".join(
+    f'<li><a href="/{i}">{w}</a></li>' for i, w in enumerate(("the", "Town.", "of", "Culture,", "Arts", "Sport.", "Weather; sea", "Help?", "Jobs.", "Cars", "a.b.", "Go!"))
+) + "</ul>"
 _LINKS = "<ul>" + "".join(f'<li><a href="/a/{i}">{t}</a></li>' for i, t in enumerate(("Rain in the north", "A new school", "Train late again"))) + "</ul>"
 
 
@@ -21,7 +25,14 @@ def _paragraphs(a: int, n: int) -> str:
     return "".join(f"<p>{_TEXT[(a + i) % len(_TEXT)]}</p>" for i in range(n))
 
 
+_READ = "".join(f'<li><a href="/{i}">{t}</a></li>' for i, t in enumerate(("The report in full", "Minutes of the meeting", "Map of the valley")))
 _MAIN = (
+    # Links are content as well where they stand in an article: alone in a paragraph, in lists, in tables.
+    '<article data-y=1><h1>{title}</h1>{body}<p><a href="/r">Read the whole report of the council</a></p><ul>'
+    + _READ
+    + '</ul>{inside}</article>',
+    '<div class="post body" data-y=1><h2><a href="/p">{title}</a></h2>{body}<h3>Sources</h3><ol>' + _READ + "</ol>{inside}</div>",
+    '<article data-y=1><h1>{title}</h1><p><a href="/x">{title}</a></p>{body}<table><tr><td><a href="/t">Town</a></td><td>12</td></tr></table><p>x = 2</p>{inside}</article>',
     "<article data-y=1><h1>{title}</h1>{body}{inside}</article>",
     "<main><div class=content data-y=1><h1>{title}</h1><p><b>{title}<br>{body}{inside}</div></main>",
     '<div id="content" class="post entry" data-y=1><h2>{title}</h2>{body}<ul><li>{title}</li><li>One more point, with a reason.</li></ul>{inside}</div>',
@@ -32,6 +43,9 @@ _MAIN = (
 )
 _BEFORE = (
     f"<nav data-y=0>{_MENU}</nav>",
+    f"<nav data-y=0>{_LONG_MENU}</nav>",
+    f'<header data-y=0>{_LONG_MENU}</header>',
+    f'<div class="nav links" data-y=0>{_LONG_MENU}</div>',
     f'<header data-y=0><a href="/">Daily Post</a><div class="menu">{_MENU}</div><p>News since 1901</p></header>',
     '<div class="ad" data-y=0>Buy two shirts and get one free today.</div>',
     '<div class="cookie-notice" data-y=0><p>We use cookies, as most sites do, to count our readers.</p><button>Accept</button></div>',
@@ -47,6 +61,9 @@ _AFTER = (
     '<section class="comments" id="comments" data-y=0><h2>Comments</h2><div class="comment"><p>I was there, and it was not like that at all.</p></div><div class="comment"><p>Thanks!</p></div></section>',
     f'<div class="related-posts recommended" data-y=0><h3>Read on</h3>{_LINKS}</div>',
     '<div class="newsletter subscribe signup" data-y=0><p>Get our letter every Monday morning.</p><form><input><button>Sign up</button></form></div>',
+    f"<footer data-y=0>{_LONG_MENU}<p>All about the town.</p></footer>",
+    f'<aside data-y=0>{_LONG_MENU}</aside>',
+    f'<div class="tags" data-y=0>{_LONG_MENU}</div>',
     '<div class="footer legal" data-y=0><p>Terms of use. Privacy. Imprint.</p></div>',
     '<div class="advert sponsored promo" data-y=0><p>Fly to the sun this winter, from ninety nine a seat.</p></div>',
     '<div class="share social" data-y=0><a href="#">Share</a> <a href="#">Mail</a></div>',
@@ -71,8 +88,8 @@ _INSIDE = (
 def labelled_pages() -> list[str]:
     """Every main part with changing parts around and inside it."""
     out = []
-    inside = [""] + [part for parts in zip(_INSIDE, _AFTER + _AFTER[:3], _BEFORE + _BEFORE[:3], strict=True) for part in parts]
-    for k in range(90):
+    inside = [""] + [part for parts in zip(_INSIDE, _AFTER, _BEFORE, strict=True) for part in parts]
+    for k in range(120):
         title, body = _TEXT[k % len(_TEXT)], _paragraphs(k, 1 + k % 5)
         main = _MAIN[k % len(_MAIN)].format(title=title, body=body, inside=inside[k % len(inside)] + f"<p>{_TEXT[k // 3 % len(_TEXT)]}</p>" * (k % 2))
         before = "".join(_BEFORE[(k + i * 2) % len(_BEFORE)] for i in range(1 + k % 4))

@@ -78,3 +78,43 @@ def test_edges(spark):
     assert all(n == len(t) for _, t, n in got)
     assert extract(df.limit(0)).collect() == []
     assert main_text("<div>" * 3000 + "x", learned()) is not None
+
+
+@pytest.mark.parametrize(
+    "inner, want",
+    [
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be a number.</p>", "Let x=2 be a number."),
+        ("<p>See <svg><text>Fig. 1</text></svg> and <object>the film</object>.</p>", "See Fig. 1 and the film."),
+        ("<noscript><p>The picture shows the bridge, as it was.</p></noscript>", "The picture shows the bridge, as it was."),
+        ('<p><a href="/r">Read the whole report of the council</a></p>', "Read the whole report of the council"),
+        ('<ul><li><a href="/1">The report in full</a></li><li><a href="/2">Minutes</a></li></ul>', "The report in full\nMinutes"),
+        ('<p>A <my-term>new word</my-term> here, and <font color=red>red</font>.</p>', "A new word here, and red."),
+        ("<p title=it's>One, two.</p>", "One, two."),
+        ("<p title='a > b' class=\"x\">One, two.</p>", "One, two."),
+        ("<!--> <p>One, two.</p>", "One, two."),
+        ("<p>&#" + "9" * 5000 + "; one, two.</p>", "\ufffd one, two."),
+    ],
+)
+def test_nothing_else_is_dropped(inner, want):
+    page = f"<html><body><nav><ul><li><a href=x>Home</a></li></ul></nav><article><h1>Bridge</h1><p>{GOOD}</p>{inner}<p>{GOOD}</p></article></body></html>"
+    assert main_text(page, learned()) == f"Bridge\n{GOOD}\n{want}\n{GOOD}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<a ", '<p title="x ', "<div>", "<b>", "<ul><li>", "</div>", "<!-", "<script", "<head>", "<table><tr><td>", "&amp", "<p a='", "<x/", "= \"", "<li></li>", "<a>x"],
+)
+def test_a_megabyte_of_anything_takes_seconds(part):
+    import time
+
+    model = learned()
+    page = "<div>" * 2000 + f"<article><p>{GOOD}</p></article>" + part * ((1 << 20) // len(part))
+    began = time.process_time()
+    main_text(page, model)
+    assert time.process_time() - began < 20
+    times = []
+    for n in (1 << 16, 1 << 18):
+        began = time.process_time()
+        parse(part * (n // len(part)))
+        times.append(time.process_time() - began)
+    assert times[1] < 10 * times[0] + 0.2  # four times the page, not sixteen times the time
