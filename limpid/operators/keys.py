@@ -47,8 +47,17 @@ def heavy_hashes(df: DataFrame, keys: Sequence[str], parts: int = HEAVY_PARTS) -
     Every key with more than 1.5/parts of the rows is found, whatever the order and number of the others: the sketch's error
     stays below a quarter of 1/parts.
     """
+    return _frequent(df.select(_hashed(keys).alias("h")), parts)
+
+
+def heavy_numbers(df: DataFrame, column: str, parts: int = HEAVY_PARTS) -> list[int]:
+    """As ``heavy_hashes``, of a column of longs: its values with more than 1/parts of the rows."""
+    return _frequent(df.select(named(column).alias("h")), parts)
+
+
+def _frequent(numbers: DataFrame, parts: int) -> list[int]:
     tracked = 16 * parts
-    sketches = df.select(_hashed(keys).alias("h")).groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGES)).alias("task")).agg(
+    sketches = numbers.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGES)).alias("task")).agg(
         F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("rows")
     )
     # Grouped, as sketches can't be combined where there are none: an empty table gives no row.
