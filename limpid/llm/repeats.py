@@ -6,6 +6,11 @@ with one entry end there. The others are refined by the identifiers of longer st
 first of whole runs (equal runs settle all their windows at once, and later steps reuse that), then of single windows,
 only in buckets where some run stayed alone, and with one representative of equal runs.
 
+Runs are shuffled once, by bucket, and sorted by bucket and run. One pass over them drops lone buckets, settles equal runs
+and keeps what is open. Buckets and runs that hold more than some 1/2000 of all are found before by a sketch. Heavy buckets
+are dealt by bucket and run, and heavy runs by a salt as well, so no task holds one whole. Heavy buckets are never lone, and
+their windows are counted in Spark. If a salt leaves an equal run alone, its windows still meet those of the others there.
+
 A row stands for itself: rows with the same doc_id and text are copies of each other; a digest of 128 bits stands for the
 text. Null text counts as empty; doc_id
 may be null or repeated. Texts shorter than a window lose nothing.
@@ -24,11 +29,14 @@ from pyspark.sql import types as T
 
 from limpid.llm.arrays import U64, Rolling, long_array, mix, text_slices
 from limpid.llm.storage import stored
+from limpid.operators.keys import heavy_numbers
 
 WINDOW = 200
 GRAM = 50
 #: A bucket with more different runs than this is refined by counting windows in Spark instead of within a task.
 HOT = 20_000
+#: A run that many rows share is dealt over so many groups.
+SALTS = 256
 _PIECE = 1 << 20
 
 
@@ -92,6 +100,109 @@ def find_runs(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, mark binary, lo int, n int, bucket long, run long")
 
 
+#: What becomes of a run: settled by an equal one, or open, alone or not, in a bucket for one task or for Spark.
+SETTLED, OPEN, OPEN_ALONE, HOT_OPEN, HOT_ALONE = range(5)
+
+
+class _Judge:
+    """One pass over runs in order of (bucket, run). Holds one row, and of the bucket it is in at most `hot` rows."""
+
+    def __init__(self, heavy: list[int], hot: int):
+        self.heavy, self.hot = np.array(sorted(heavy), np.int64), hot
+        self.last, self.same = None, False  # a row whose successor isn't known, and whether it equals its predecessor
+        self.open: list[pa.RecordBatch] = []  # representatives of the runs of the bucket that may go on
+        self.bucket, self.count, self.alone = None, 0, False
+
+    def _kinds(self, batch: pa.RecordBatch, kind: np.ndarray) -> pa.RecordBatch:
+        names = ["doc_id", "mark", "lo", "n", "bucket"]
+        return pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(kind.astype(np.int8))], [*names, "kind"])
+
+    def _close(self) -> Iterator[pa.RecordBatch]:
+        """Ends the open bucket: its runs matter if one is alone among others. Beyond `hot` runs they have gone out already."""
+        if self.count <= self.hot and self.count > 1 and self.alone:
+            yield from self.open
+        self.open, self.bucket, self.count, self.alone = [], None, 0, False
+
+    def _bucket(self, bucket: int, part: pa.RecordBatch, alone: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Some representatives of one bucket, which may go on."""
+        if bucket != self.bucket:
+            yield from self._close()
+            self.bucket = bucket
+        before = self.count
+        self.count += part.num_rows
+        self.alone |= bool(alone.any())
+        if self.count > self.hot:
+            if before <= self.hot:
+                for held in self.open:
+                    yield self._kinds(held, held.column("kind").to_numpy() + (HOT_OPEN - OPEN))
+                self.open = []
+            yield self._kinds(part, np.where(alone, HOT_ALONE, HOT_OPEN))
+        else:
+            self.open.append(self._kinds(part, np.where(alone, OPEN_ALONE, OPEN)))
+
+    def feed(self, batch: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
+        """The next rows, or None at the end."""
+        rows = [b for b in (self.last, batch) if b is not None and b.num_rows]
+        if rows:
+            rows = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            bucket, run = (rows.column(c).to_numpy() for c in ("bucket", "run"))
+            following = np.append((bucket[1:] == bucket[:-1]) & (run[1:] == run[:-1]), False)
+            previous = np.append(self.same, following[:-1])
+            n = rows.num_rows - (batch is not None)
+            self.last, self.same = (rows.slice(n), bool(previous[n])) if n < rows.num_rows else (None, False)
+            following, previous = following[:n], previous[:n]
+            equal = np.flatnonzero(following | previous)
+            if equal.size:
+                yield self._kinds(rows.take(pa.array(equal)), np.full(equal.size, SETTLED))
+            first = np.flatnonzero(~previous)
+            if first.size:
+                yield from self._representatives(rows.take(pa.array(first)), ~following[first])
+        if batch is None:
+            yield from self._close()
+
+    def _representatives(self, rows: pa.RecordBatch, alone: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bucket = rows.column("bucket").to_numpy()
+        heavy = np.isin(bucket, self.heavy)
+        if heavy.any():
+            yield self._kinds(rows.filter(pa.array(heavy)), np.where(alone[heavy], HOT_ALONE, HOT_OPEN))
+            rows, bucket, alone = rows.filter(pa.array(~heavy)), bucket[~heavy], alone[~heavy]
+        if not bucket.size:
+            return
+        start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        size = np.diff(np.append(start, bucket.size))
+        # The first bucket may have begun before, and the last may go on; those between are judged together.
+        yield from self._bucket(int(bucket[0]), rows.slice(0, size[0]), alone[: size[0]])
+        if start.size == 1:
+            return
+        yield from self._close()
+        if start.size > 2:
+            of = np.repeat(np.arange(start.size), size)
+            some = np.logical_or.reduceat(alone, start)
+            wanted = (size > 1) & some
+            wanted[[0, -1]] = False
+            keep = np.flatnonzero(wanted[of])
+            if keep.size:
+                crowd = size[of[keep]] > self.hot
+                kind = np.where(alone[keep], OPEN_ALONE, OPEN) + crowd * (HOT_OPEN - OPEN)
+                yield self._kinds(rows.take(pa.array(keep)), kind)
+        yield from self._bucket(int(bucket[-1]), rows.slice(start[-1]), alone[start[-1] :])
+
+
+def judge_runs(found: DataFrame, heavy: list[int], hot: int) -> DataFrame:
+    """doc_id, mark, lo, n, bucket, kind of the runs that are settled, and of one of each that stay open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _Judge(heavy, hot)
+        for batch in batches:
+            yield from judge.feed(batch)
+        yield from judge.feed(None)
+
+    salted = F.when(F.col("run").isin(heavy), F.xxhash64("run", F.pmod(F.xxhash64("mark", "lo"), F.lit(SALTS)))).otherwise(F.col("run"))
+    crowded = F.when(F.col("bucket").isin(heavy), salted) if heavy else F.lit(None).cast("long")
+    dealt = found.withColumn("_part", crowded).repartition("bucket", "_part").drop("_part")
+    return dealt.sortWithinPartitions("bucket", "run").mapInArrow(run, "doc_id long, mark binary, lo int, n int, bucket long, kind byte")
+
+
 def cut_strips(wanted: DataFrame, window: int) -> DataFrame:
     """The bytes of wanted runs. wanted: doc_id, mark, text, runs (array of lo, n, bucket, alone)."""
 
@@ -211,18 +322,14 @@ def remove_repeats(
     ).withColumn("mark", F.unhex(F.md5("text")))
     owner = ["doc_id", "mark"]
     found = find_runs(rows.filter(F.octet_length("text") >= window), window, gram)
-    shared = found.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
-    kept = stored(found.join(shared, "bucket"), "repeated")
-    names = stored(
-        kept.groupBy("bucket", "run").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "mark", "lo", "n")).alias("one")), "runs"
+    heavy = heavy_numbers(found.select(F.explode(F.array("bucket", "run")).alias("name")), "name")
+    judged = stored(judge_runs(found, heavy, hot), "runs")
+    kind = F.col("kind")
+    settled = judged.filter(kind == SETTLED).select(
+        *owner, F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + window).cast("int").alias("stop")
     )
-    equal = names.filter("c > 1").select("bucket", "run")
-    settled = kept.join(equal, ["bucket", "run"]).select(*owner, F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + window).cast("int").alias("stop"))
-    # A bucket's runs are compared window by window if at least one of them is alone.
-    sizes = names.groupBy("bucket").agg(F.min("c").alias("least"), F.count("*").alias("runs_in")).filter("least = 1 AND runs_in > 1")
-    open_runs = names.join(sizes.select("bucket", (F.col("runs_in") > hot).alias("hot")), "bucket")
-    wanted = open_runs.groupBy("one.doc_id", "one.mark").agg(
-        F.collect_list(F.struct("one.lo", "one.n", "bucket", (F.col("c") == 1).alias("alone"), "hot")).alias("runs")
+    wanted = judged.filter(kind != SETTLED).groupBy(*owner).agg(
+        F.collect_list(F.struct("lo", "n", "bucket", kind.isin(OPEN_ALONE, HOT_ALONE).alias("alone"), (kind >= HOT_OPEN).alias("hot"))).alias("runs")
     )
     nullsafe = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["mark"] == b["mark"])
     def strips(which: str) -> DataFrame:
@@ -233,7 +340,7 @@ def remove_repeats(
 
     stored_wanted = stored(wanted, "wanted")
     ranges = settled.unionByName(refine_in_tasks(strips("small").repartition("bucket"), window))
-    if not sizes.filter(F.col("runs_in") > hot).isEmpty():
+    if not judged.filter(kind >= HOT_OPEN).isEmpty():
         ranges = ranges.unionByName(refine_by_count(stored(strips("hot"), "strips"), window))
     # Copies of a row settle the same ranges; a set holds them once.
     ranges = ranges.groupBy(*owner).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))

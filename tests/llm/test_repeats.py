@@ -80,3 +80,52 @@ def test_copies_of_a_row_hold_their_ranges_once(spark):
     long = " ".join(str(i) for i in range(200))
     got = remove_repeats(spark.createDataFrame([(4, long)] * 20 + [(5, "x " + long)], "doc_id long, text string"))
     assert rows(got) == brute([long] * 20 + ["x " + long], 200)
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_heavy_buckets_and_runs(spark, documents, hot, monkeypatch):
+    """Most runs lie in a few buckets, and many are equal; every part of a salted run is right by itself."""
+    from limpid.llm import repeats
+
+    rng = random.Random(4)
+    line = "this line stands in nearly every text, " * 2
+    texts = [line * (i % 4) + "".join(rng.choice("abcdef ") for _ in range(rng.randint(0, 60))) + line[: i % 50] for i in range(120)]
+    texts += [line] * 60 + [None, "", "z" * 400]
+    seen = []
+    monkeypatch.setattr(repeats, "heavy_numbers", lambda df, c: seen.append(1) or [r[0] for r in df.groupBy(c).count().filter("count > 20").select(c).collect()])
+    assert rows(remove_repeats(documents(texts), window=30, gram=8, hot=hot)) == brute(texts, 30)
+    assert seen
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7, 1000])
+@pytest.mark.parametrize("hot", [2, 3, 100])
+def test_runs_are_judged_in_any_batches(batch, hot):
+    import numpy as np
+    import pyarrow as pa
+
+    from limpid.llm.repeats import HOT_ALONE, HOT_OPEN, OPEN, OPEN_ALONE, SETTLED, _Judge
+
+    rng = random.Random(batch * 10 + hot)
+    pairs = sorted((rng.randrange(12), rng.randrange(9)) for _ in range(60)) + [(50, 1)] * 5 + [(60, i) for i in range(6)] + [(70, 1), (70, 1), (80, 2)]
+    heavy = [3, 60]
+    bucket, run = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+    table = pa.RecordBatch.from_pydict({"doc_id": list(range(len(pairs))), "mark": [b"m"] * len(pairs), "lo": [0] * len(pairs), "n": [1] * len(pairs), "bucket": bucket, "run": run})
+    judge, out = _Judge(heavy, hot), []
+    for at in range(0, len(pairs), batch):
+        out += judge.feed(table.slice(at, batch))
+    out += judge.feed(None)
+    got = Counter((r["bucket"], int(run[r["doc_id"]]), r["kind"]) for b in out for r in b.to_pylist())
+    counts, expected = Counter(pairs), Counter()
+    for b in {p[0] for p in pairs}:
+        own = {p: n for p, n in counts.items() if p[0] == b}
+        for p, n in own.items():
+            if n > 1:
+                expected[(*p, SETTLED)] += n
+            crowd = b in heavy or len(own) > hot
+            if crowd or (len(own) > 1 and 1 in own.values()):
+                kinds = (HOT_ALONE, HOT_OPEN) if crowd else (OPEN_ALONE, OPEN)
+                expected[(*p, kinds[n > 1])] += 1
+    # A crowded bucket between the ends of a batch is dropped at once if no run in it is alone; across batches it isn't known yet.
+    useless = {b for b in {p[0] for p in pairs} if b not in heavy and 1 not in [n for p, n in counts.items() if p[0] == b]}
+    clean = lambda c: {k: n for k, n in c.items() if not (k[0] in useless and k[2] == HOT_OPEN)}
+    assert clean(got) == clean(expected)
