@@ -1,7 +1,10 @@
 """Byte-level BPE with a rank file: overlapping chunks are split into pre-tokens in parallel, stitched where their
 boundaries meet again, and the pieces encoded; decoding joins raw bytes.
 
-Null text counts as empty and has no ids. Equal rows give equal results; extra columns are left out.
+Null and empty texts have no ids. Rows stand for themselves: repeated rows and rows that share a doc_id, or have none, give
+a row each, and equal texts give equal results. A very long text is split in parallel and joined in one task that holds it
+and its ids, in time in proportion to it. Names of special tokens in a text are text. An empty table gives an empty one;
+columns other than doc_id and text are left out.
 """
 
 from __future__ import annotations
@@ -121,28 +124,29 @@ def stitch(ends: list[list[int]], starts: list[int], texts: list[str], split) ->
     no boundary is common in an overlap, the chunk's text goes on with the next one's and is split again.
     """
     pieces: list[str] = []
-    at, text, own = 0, texts[0], ends[0]
-    origin = starts[0]
-    for k in range(1, len(texts) + 1):
+    at, text, own, origin = 0, texts[0], ends[0], starts[0]
+    k, more = 1, 1
+    while True:
+        own = [e + origin for e in own]
         if k == len(texts):
-            own = [e + origin for e in own]
             bounds = [e for e in own if e > at]
-            pieces += [text[a - origin : b - origin] for a, b in zip([at, *bounds], bounds, strict=False)]
-            break
-        own = [e + origin for e in own]
+            return pieces + [text[a - origin : b - origin] for a, b in zip([at, *bounds], bounds, strict=False)]
         safe = origin + len(text) - 1
         sure = own[:-2] if len(own) > 2 else []
         other = {starts[k]} | {e + starts[k] for e in ends[k]}
         meet = next((e for e in sure if e >= max(at, starts[k]) and e in other and e < safe), None)
         if meet is None:
-            text += texts[k][origin + len(text) - starts[k] :]
-            own = split(text[at - origin :])
-            own = [at - origin + e for e in own]
+            # Each time twice as many chunks are added, so splitting anew costs no more than a few times the text.
+            for k in range(k, min(k + more, len(texts))):  # noqa: B020
+                text += texts[k][origin + len(text) - starts[k] :]
+            text, origin = text[at - origin :], at
+            own = split(text)
+            k, more = k + 1, 2 * more
             continue
         bounds = [e for e in own if at < e <= meet]
         pieces += [text[a - origin : b - origin] for a, b in zip([at, *bounds], bounds, strict=False)]
         at, text, own, origin = meet, texts[k], ends[k], starts[k]
-    return pieces
+        k, more = k + 1, 1
 
 
 def _row(c: Codec, pieces: list[str]) -> tuple[int, str, str]:
@@ -201,11 +205,22 @@ def encode_documents(
         return pd.DataFrame([row + [c.encode(pieces)] * keep_ids], columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 
     keyed = rows.filter(is_long).withColumn("key", F.sha2("text", 256))
-    # Character places count code points, as Python does.
-    places = F.sequence(F.lit(0), F.length("text") - 1 - overlap, F.lit(chunk - overlap))
+
+    def overlapping(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch.column("key"), batch.column("text"), strict=True):
+                text = text.as_py()
+                places = range(0, len(text) - overlap, chunk - overlap)
+                for at in range(0, len(places), 64):
+                    some = places[at : at + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key.as_py()] * len(some)), pa.array(some, pa.int32()), pa.array([text[p : p + chunk] for p in some], pa.string())],
+                        ["key", "place", "part"],
+                    )
+
     parts = (
-        keyed.select("key", "text", F.explode(places).alias("place"))
-        .select("key", "place", F.substring("text", F.col("place") + 1, F.lit(chunk)).alias("part"))
+        keyed.select("key", "text")
+        .mapInArrow(overlapping, "key string, place int, part string")
         .dropDuplicates(["key", "place"])
         .repartition("key", "place")
     )
