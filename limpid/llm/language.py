@@ -58,18 +58,19 @@ def letters() -> np.ndarray:
     return out
 
 
-def strings(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(packed 4-character strings, number of the text of each, whether each text has a letter)."""
+def strings(texts: list[str], skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(packed 4-character strings, number of the text of each, whether each text has a letter).
+
+    skip: how many symbols at the start of each text are context and have no string of their own.
+    """
     length = np.array([len(t) for t in texts], np.int64)
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = _codes("".join(texts))
     text = np.repeat(np.arange(length.size), length)
     has = np.zeros(length.size, bool)
     has[text[letters()[codes]]] = True
-    s = symbols()[codes]
-    new = np.ones(s.size, bool)
+    new = np.ones(codes.size, bool)
     new[1:] = text[1:] != text[:-1]
-    keep = s != _BLANK
-    keep[1:] |= (s[:-1] != _BLANK) & ~new[1:]
+    s, keep = _kept(codes, new)
     s, text = s[keep].astype(U64), text[keep]
     first = np.searchsorted(text, text)
     place = np.arange(s.size) - first
@@ -79,6 +80,9 @@ def strings(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         before[k:] = s[:-k] if k < s.size else before[k:]
         before[place < k] = _BLANK
         packed |= before << U64(16 * k)
+    if skip is not None and skip.any():
+        own = place >= skip[text]
+        packed, text = packed[own], text[own]
     return packed, text, has
 
 
@@ -145,8 +149,8 @@ class Model:
     def entropy(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bits a character in each language, characters, whether there is a letter) of each text."""
         total, count, has = np.zeros((len(texts), len(self.names))), np.zeros(len(texts)), np.zeros(len(texts), bool)
-        for part, number, _ in _pieces(texts):
-            packed, text, letter = strings(part)
+        for part, number, skip in _pieces(texts):
+            packed, text, letter = strings(part, skip)
             if packed.size:
                 s = self.scores(packed)
                 first = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
@@ -171,20 +175,51 @@ def _mask(n: int) -> U64:
     return U64((1 << (16 * n)) - 1)
 
 
-def _pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, int]]:
-    """Texts in groups of bounded length; a long one in pieces (each begins after a blank context)."""
-    part, number, size = [], [], 0
+def _kept(codes: np.ndarray, new: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The symbol of each code point, and which stay: letters, and of a run of others the first after a letter."""
+    s = symbols()[codes]
+    keep = s != _BLANK
+    after = s[:-1] != _BLANK
+    keep[1:] |= after if new is None else after & ~new[1:]
+    return s, keep
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _context(text: str) -> str:
+    """The characters of the last ORDER - 1 symbols of a text: what the next character's probability depends on."""
+    size = 64
+    while True:
+        tail = text[-size:]
+        at = np.flatnonzero(_kept(_codes(tail))[1])[1 - ORDER :]
+        if at.size == ORDER - 1 or size >= len(text):
+            return "".join(tail[i] for i in at)
+        size *= 64
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Texts in groups of bounded length, the number of each one's text and how many of its symbols only are context.
+
+    A long text comes in pieces that begin with the last symbols of the piece before, so cuts change nothing.
+    """
+    part, number, skip, size = [], [], [], 0
     for i, t in enumerate(texts):
+        context = ""
         for at in range(0, max(1, len(t)), _PIECE):
-            piece = t[at : at + _PIECE]
+            piece = context + t[at : at + _PIECE]
             part.append(piece)
             number.append(i)
+            skip.append(int(_kept(_codes(context))[1].sum()))
             size += len(piece)
+            if at + _PIECE < len(t):
+                context = _context(piece)
             if size >= _PIECE:
-                yield part, np.array(number), size
-                part, number, size = [], [], 0
+                yield part, np.array(number), np.array(skip)
+                part, number, skip, size = [], [], [], 0
     if part:
-        yield part, np.array(number), size
+        yield part, np.array(number), np.array(skip)
 
 
 def _discount(one: int, two: int) -> float:
@@ -253,8 +288,8 @@ def learn(labelled: DataFrame, max_strings: int) -> Model | None:
             langs = np.array(batch.column("lang").to_pylist(), object)
             for name in sorted(set(langs)):
                 texts = batch.column("text").filter(pa.array(langs == name)).to_pylist()
-                for part, _, _ in _pieces(texts):
-                    keys, c = np.unique(strings(part)[0], return_counts=True)
+                for part, _, skip in _pieces(texts):
+                    keys, c = np.unique(strings(part, skip)[0], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * keys.size, pa.string()), pa.array(keys.view(np.int64)), pa.array(c)], ["lang", "key", "c"])
 
     counts = labelled.mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))

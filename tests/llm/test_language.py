@@ -71,3 +71,81 @@ def test_many_strings_keep_discounts_and_languages(spark, documents):
     context = sum(ord(c) << (16 * (3 - i)) for i, c in enumerate("der"))
     one = np.array([context + 32], np.uint64)
     assert np.allclose(cut.scores(one)[:, 0], whole.scores(one)[:, 0], atol=0.01)
+
+
+def _plain_model(texts, alphabet):
+    """Interpolated Kneser-Ney of one language with dictionaries: a function from (context, character) to a probability."""
+    from collections import Counter
+
+    counts = Counter()
+    for t in texts:
+        s = _symbols(t)
+        counts.update(("   " + s)[i : i + 4] for i in range(len(s)))
+    levels = [counts]
+    for n in (3, 2, 1):
+        levels.append(Counter(k[-n:] for k in levels[-1]))
+
+    def p(context, c):
+        out = 1 / (4 * max(2, alphabet))
+        for n, level in zip((1, 2, 3, 4), reversed(levels), strict=True):
+            before = context[len(context) - n + 1 :] if n > 1 else ""
+            total = sum(v for k, v in level.items() if k[:-1] == before)
+            if total:
+                one, two = (sum(v == x for v in level.values()) for x in (1, 2))
+                d = min(0.95, max(0.1, one / (one + 2 * two))) if one + two else 0.5
+                kinds = sum(k[:-1] == before for k in level)
+                out = max(level[before + c] - d, 0) / total + d * kinds / total * out
+        return out
+
+    return p
+
+
+def _symbols(text):
+    """Small letters, one blank for each run of others after a letter."""
+    out = ""
+    for c in text.lower():
+        if c.isalpha():
+            out += c
+        elif out and out[-1] != " ":
+            out += " "
+    return out
+
+
+def test_cross_entropy_as_a_plain_kneser_ney(spark):
+    import math
+
+    from limpid.llm.language import learn
+
+    texts = {"en": ["the cat and the dog", "a cat, a hat!", "Then there"], "de": ["der hund und die katze", "das haus; ein hund"]}
+    rows = [(lang, t) for lang, ts in texts.items() for t in ts]
+    model = learn(spark.createDataFrame(rows, "lang string, text string"), 10**6)
+    assert model.names == ["de", "en"]
+    asked = ["the hat", "die hunde", "x", "Katze -- cat", "the"]
+    bits, count, _ = model.entropy(asked)
+    # What no language has seen has one probability for all of them.
+    alphabet = len({c for ts in texts.values() for t in ts for c in _symbols(t)})
+    plain = {lang: _plain_model(ts, alphabet) for lang, ts in texts.items()}
+    for i, t in enumerate(asked):
+        s = "   " + _symbols(t)
+        assert count[i] == len(s) - 3
+        for k, lang in enumerate(model.names):
+            p = plain[lang]
+            expected = -sum(math.log2(p(s[j - 3 : j], s[j])) for j in range(3, len(s))) / (len(s) - 3)
+            assert abs(bits[i, k] - expected) < 1e-4, (t, lang, bits[i, k], expected)
+
+
+def test_cuts_of_a_long_text_change_nothing(monkeypatch):
+    from limpid.llm import language
+
+    rng = np.random.default_rng(7)
+    texts = ["".join(rng.choice(list("abé 1漢.\n"), 700)) for _ in range(5)] + [" " * 300 + "ab" + "1" * 400 + "c" * 90, "", "7" * 500, "a" * 333]
+    whole = strings(texts)
+    for piece in (1, 2, 5, 64, 100):
+        monkeypatch.setattr(language, "_PIECE", piece)
+        packed, text, has = [], [], np.zeros(len(texts), bool)
+        for part, number, skip in language._pieces(texts):
+            p, t, h = strings(part, skip)
+            packed.append(p)
+            text.append(number[t])
+            np.logical_or.at(has, number, h)
+        assert (np.concatenate(packed) == whole[0]).all() and (np.concatenate(text) == whole[1]).all() and (has == whole[2]).all()
