@@ -26,8 +26,9 @@ from limpid.llm.storage import stored
 
 #: About so many labelled documents are fitted on, drawn by a hash of doc_id; some 500 bytes each.
 LABELLED = 20_000
-#: All unlabelled documents take part in the exchange; more than so many weigh as much as so many together.
-POOL = 20_000
+#: All unlabelled documents take part in the exchange. Were all of them taught, they would weigh together so many times as
+#: much as the labelled ones, however many they are.
+TAUGHT = 4.0
 ROUNDS = 5
 #: Logits are counted in so many bins for the cut-offs.
 BINS = 1 << 16
@@ -308,10 +309,10 @@ class SparkPool:
         return self._added(lesson, lambda lesson, both: lesson.sums(both))
 
 
-def co_train(labelled: tuple, pool, rounds: int = ROUNDS, step: float = STEP, most: int | None = None) -> Model:
+def co_train(labelled: tuple, pool, rounds: int = ROUNDS, step: float = STEP, taught: float = TAUGHT) -> Model:
     """labelled: (content, page, labels, draw); pool: (content, page) or one of the pools. A quarter of the labelled calibrates.
 
-    With most, taught documents weigh as if the pool had at most so many.
+    Taught documents weigh `taught` times the labelled ones by the documents of the pool each.
     """
     content, page, y, draw = labelled
     if y.size < 8 or y.min() == y.max():
@@ -321,7 +322,7 @@ def co_train(labelled: tuple, pool, rounds: int = ROUNDS, step: float = STEP, mo
     if min(y[rest].sum(), (1 - y[rest]).sum(), y[~rest].sum(), (1 - y[~rest]).sum()) < 1:
         rest = np.zeros(y.size, bool)
     data = [_view(content), _view(page)]
-    weight = min(1.0, most / max(1, pool.size)) if most else 1.0
+    weight = taught * y.size / max(1, pool.size)
     models = [fit(v.take(~rest), y[~rest]) for v in data]
     for turn in range(rounds if pool.size else 0):
         cuts = []
@@ -360,7 +361,7 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     return flat.reshape(rows, -1) if rows else np.zeros((0, 1))
 
 
-def train(found: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> Model:
+def train(found: DataFrame, labels: DataFrame, labelled: int = LABELLED, taught: float = TAUGHT, rounds: int = ROUNDS) -> Model:
     """found: the views of the documents that may be learned from; labels: doc_id, quality."""
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("quality") > 0).cast("int").alias("y"))
     drawn = found.filter("doc_id IS NOT NULL").withColumn("draw", F.abs(F.xxhash64("doc_id") % 1_000_000)).join(marks, "doc_id", "left")
@@ -369,7 +370,7 @@ def train(found: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: i
     table = drawn.filter(F.col("y").isNotNull() & (F.col("draw") < share)).orderBy("doc_id").toArrow()
     content, page = _both(table)
     rest = SparkPool(drawn.filter("y IS NULL").select("content", "page", "source", "lang"))
-    return co_train((content, page, table.column("y").to_numpy().astype(float), table.column("draw").to_numpy()), rest, rounds, most=pool)
+    return co_train((content, page, table.column("y").to_numpy().astype(float), table.column("draw").to_numpy()), rest, rounds, taught=taught)
 
 
 def score(found: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

@@ -80,17 +80,33 @@ def test_fit_with_sources_as_with_dense_columns():
 
 
 def test_exchange_looks_at_all_unlabelled_documents(spark, documents):
-    # One rare source, far more documents than `pool`: the page view knows it only through what the text view teaches.
+    # One rare source in far more documents than are labelled: the page view knows it only through what the text view teaches.
     rng = np.random.default_rng(3)
     good, source = rng.integers(0, 2, 3000), rng.integers(0, 4, 3000)
     rows = [(i, "good prose, here it is. " * 3 if g else "# | # | # ", "en", "rare" if i % 100 == 99 and g else f"s{s}") for i, (g, s) in enumerate(zip(good.tolist(), source.tolist(), strict=True))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     labels = spark.createDataFrame([(i, g) for i, g in enumerate(good.tolist()) if i < 300 and i % 100 != 99], "doc_id long, quality int")
     found = views(docs).persist()
-    model = train(found, labels, pool=50)
+    model = train(found, labels, taught=0.2)
     rare = found.filter("doc_id >= 300").join(docs.filter("source = 'rare'").select("doc_id"), "doc_id").first()
     assert model.page.source[rare.source] > 0
     local = _both(found.join(labels, "doc_id", "left_anti").toArrow())
     pool = SparkPool(found.join(labels, "doc_id", "left_anti"))
     both = [model.content, model.page]
     assert pool.size == len(local[0].x) and all((a == b).all() for a, b in zip(pool.counts(both), LocalPool(*local).counts(both), strict=True))
+    # The whole training as with all rows in memory.
+    drawn = found.join(labels, "doc_id").withColumn("draw", F.abs(F.xxhash64("doc_id") % 1_000_000)).orderBy("doc_id").toArrow()
+    content, page = _both(drawn)
+    plain = co_train((content, page, drawn.column("quality").to_numpy().astype(float), drawn.column("draw").to_numpy()), local, taught=0.2)
+    assert np.allclose(plain.scores(*local), model.scores(*local), atol=1e-6)
+
+
+def test_the_size_of_the_pool_changes_little():
+    """Ten times the unlabelled documents, all alike: the same fit but for rounding of the cuts."""
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 60).astype(float)
+    a, b = rng.normal(size=(60, 3)) + 2 * y[:, None], rng.normal(size=(60, 2)) + y[:, None]
+    z = rng.integers(0, 2, 500)
+    pool = rng.normal(size=(500, 3)) + 2 * z[:, None], rng.normal(size=(500, 2)) + z[:, None]
+    once, often = (co_train((a, b, y, np.arange(60)), tuple(np.repeat(v, n, axis=0) for v in pool)) for n in (1, 10))
+    assert np.abs(once.scores(*pool)[:, 0] - often.scores(*pool)[:, 0]).max() < 0.05
