@@ -8,8 +8,8 @@ only in buckets where some run stayed alone, and with one representative of equa
 
 Runs are shuffled once, by bucket, and sorted by bucket and run. One pass over them drops lone buckets, settles equal runs
 and keeps what is open. Buckets and runs that hold more than some 1/2000 of all are found before by a sketch. Heavy buckets
-are dealt by bucket and run, and heavy runs by a salt as well, so no task holds one whole. Heavy buckets are never lone, and
-their windows are counted in Spark. If a salt leaves an equal run alone, its windows still meet those of the others there.
+are dealt by bucket and run, and heavy runs by a salt as well, so no task holds one whole. Heavy buckets are never lone. If
+a salt leaves an equal run alone, its windows still meet those of the others there.
 
 A row stands for itself: rows with the same doc_id and text are copies of each other; a digest of 128 bits stands for the
 text. Null text counts as empty; doc_id
@@ -328,9 +328,13 @@ def remove_repeats(
     settled = judged.filter(kind == SETTLED).select(
         *owner, F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + window).cast("int").alias("stop")
     )
-    wanted = judged.filter(kind != SETTLED).groupBy(*owner).agg(
-        F.collect_list(F.struct("lo", "n", "bucket", kind.isin(OPEN_ALONE, HOT_ALONE).alias("alone"), (kind >= HOT_OPEN).alias("hot"))).alias("runs")
-    )
+    # Heavy buckets were judged in parts: only together it shows whether a run is alone in them and how many there are.
+    crowds = judged.filter(kind >= HOT_OPEN)
+    sizes = crowds.groupBy("bucket").agg(F.count(F.lit(1)).alias("runs_in"), F.max(kind).alias("most")).filter(F.col("most") == HOT_ALONE)
+    alone = kind.isin(OPEN_ALONE, HOT_ALONE).alias("alone")
+    few = judged.filter(kind.isin(OPEN, OPEN_ALONE)).select(*owner, "lo", "n", "bucket", alone, F.lit(False).alias("hot"))
+    many = crowds.join(sizes, "bucket").select(*owner, "lo", "n", "bucket", alone, (F.col("runs_in") > hot).alias("hot"))
+    wanted = few.unionByName(many).groupBy(*owner).agg(F.collect_list(F.struct("lo", "n", "bucket", "alone", "hot")).alias("runs"))
     nullsafe = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["mark"] == b["mark"])
     def strips(which: str) -> DataFrame:
         own = stored_wanted.select("doc_id", "mark", F.filter("runs", lambda r: r["hot"] if which == "hot" else ~r["hot"]).alias("runs")).filter("size(runs) > 0")
@@ -340,7 +344,7 @@ def remove_repeats(
 
     stored_wanted = stored(wanted, "wanted")
     ranges = settled.unionByName(refine_in_tasks(strips("small").repartition("bucket"), window))
-    if not judged.filter(kind >= HOT_OPEN).isEmpty():
+    if not sizes.filter(F.col("runs_in") > hot).isEmpty():
         ranges = ranges.unionByName(refine_by_count(stored(strips("hot"), "strips"), window))
     # Copies of a row settle the same ranges; a set holds them once.
     ranges = ranges.groupBy(*owner).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
