@@ -41,7 +41,7 @@ def extend(history: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def by_time(history: DataFrame) -> DataFrame:
-    return history.orderBy(TIME)
+    return history.orderBy(TIME, *[c for c in (STAGE,) if c in history.columns])
 
 
 def of_stage(history: DataFrame, stage: str) -> DataFrame:

@@ -16,7 +16,7 @@ from limpid.functions.text import null_if, surplus_fields
 from limpid.plans.cleaning import FLAGS
 from limpid.plans.history import with_stage
 from limpid.rules import DEFAULT, MISSING_TOKENS, Rules
-from limpid.sources.shared import exists, has_files
+from limpid.sources.shared import exists, has_files, stored_table
 
 # What ends a line for Python's str.splitlines() beyond \n, \r\n and \r.
 _LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -158,25 +158,27 @@ def part_states(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     if its footer can be parsed and says so.
     """
     file = F.col("_metadata.file_path").alias("path")
+    files = _parts(spark, path).format("binaryFile").load(path)
     # Listing only: without the content column no file is opened.
-    files = _parts(spark, path).format("binaryFile").load(path).select(file, F.col("length").alias("bytes"), "content")
+    listed = files.select(file, F.col("length").alias("bytes"))
     rows = _readable(spark, path, schema)
     stated = rows.select(file).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
     touched = F.hash(*[named(f.name) for f in schema.fields])
     read = rows.select(file, touched.alias("h")).groupBy("path").agg(F.count(F.lit(1)).alias("read"), F.bit_xor("h").alias("seen"))
     # Asking for the digest keeps Spark from pruning the columns, which have to be read.
     whole = (F.col("rows") == F.col("read")) & F.col("seen").isNotNull()
-    known = stated.join(read, "path", "left").select("path", "rows", F.coalesce(whole, F.lit(False)).alias("whole"))
-    # Without rows a table is little but its footer, so larger files need no look.
-    footers = files.where(F.col("bytes") <= FOOTER).join(known, "path", "left_anti").select("path", "content")
-    empty = footers.mapInArrow(_without_rows, "path string, empty boolean")
-    state = F.when(F.col("whole"), "whole").when(F.col("empty"), "empty").otherwise("damaged")
-    return (
-        files.drop("content")
-        .join(known, "path", "left")
-        .join(empty, "path", "left")
-        .select("path", "bytes", F.when(state == "empty", 0).otherwise(F.col("rows")).alias("rows"), state.alias("state"))
-    )
+    # One row a file; written, as it is used twice and costs the read of all columns.
+    known = stored_table(stated.join(read, "path", "left").select("path", "rows", F.coalesce(whole, F.lit(False)).alias("whole")), "parts")
+    # Names of small files without any row: a table without rows is little but its footer, so larger ones need no look.
+    silent = [r["path"] for r in listed.where(F.col("bytes") <= FOOTER).join(known, "path", "left_anti").select("path").collect()]
+    state = F.when(F.col("whole"), "whole")
+    found = listed.join(known, "path", "left")
+    if silent:
+        footers = files.where(F.col("_metadata.file_path").isin(silent)).select(file, "content")
+        found = found.join(footers.mapInArrow(_without_rows, "path string, empty boolean"), "path", "left")
+        state = state.when(F.col("empty"), "empty")
+    state = state.otherwise("damaged")
+    return found.select("path", "bytes", F.when(state == "empty", 0).otherwise(F.col("rows")).alias("rows"), state.alias("state"))
 
 
 def _without_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
