@@ -204,7 +204,7 @@ def judge_runs(found: DataFrame, heavy: list[int], hot: int) -> DataFrame:
 
 
 def cut_strips(wanted: DataFrame, window: int) -> DataFrame:
-    """The bytes of wanted runs. wanted: doc_id, mark, text, runs (array of lo, n, bucket, alone)."""
+    """The bytes of wanted runs. wanted: doc_id, mark, text, runs (array of lo, n, bucket, alone); other columns don't matter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "mark", "lo", "bucket", "alone", "strip"]
@@ -315,11 +315,10 @@ def remove_repeats(
     """
     if not 0 < gram <= window:
         raise ValueError("a gram must fit into the window")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        *([F.struct(*carry).alias("carry")] if carry else []),
-    ).withColumn("mark", F.unhex(F.md5("text")))
+    # A cast to the type it has would be another expression for each use of the rows, and so another exchange.
+    number = F.col("doc_id") if docs.schema["doc_id"].dataType == T.LongType() else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(number, F.coalesce("text", F.lit("")).alias("text"), *([F.struct(*carry).alias("carry")] if carry else []))
+    rows = rows.withColumn("mark", F.unhex(F.md5("text")))
     owner = ["doc_id", "mark"]
     found = find_runs(rows.filter(F.octet_length("text") >= window), window, gram)
     heavy = heavy_numbers(found.select(F.explode(F.array("bucket", "run")).alias("name")), "name")
@@ -335,19 +334,21 @@ def remove_repeats(
     few = judged.filter(kind.isin(OPEN, OPEN_ALONE)).select(*owner, "lo", "n", "bucket", alone, F.lit(False).alias("hot"))
     many = crowds.join(sizes, "bucket").select(*owner, "lo", "n", "bucket", alone, (F.col("runs_in") > hot).alias("hot"))
     wanted = few.unionByName(many).groupBy(*owner).agg(F.collect_list(F.struct("lo", "n", "bucket", "alone", "hot")).alias("runs"))
-    nullsafe = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["mark"] == b["mark"])
-    def strips(which: str) -> DataFrame:
-        own = stored_wanted.select("doc_id", "mark", F.filter("runs", lambda r: r["hot"] if which == "hot" else ~r["hot"]).alias("runs")).filter("size(runs) > 0")
-        joined = rows.join(own, nullsafe(rows, own)).select(rows["doc_id"], rows["mark"], "text", "runs")
+    # The one shuffle of the texts: an exchange of its own, with the same columns for all uses. Structs are equal where both
+    # lack the doc_id.
+    held = rows.select(F.struct(*owner).alias("row"), "text", *(["carry"] if carry else [])).repartition("row")
+    wanted = stored(wanted.select(F.struct(*owner).alias("row"), "runs"), "wanted")
+
+    def strips(crowded: bool) -> DataFrame:
+        own = wanted.select("row", F.filter("runs", lambda r: r["hot"] == F.lit(crowded)).alias("runs")).filter("size(runs) > 0")
         # Repeated rows cut the same strips twice. That is harmless: a lone run's row is never repeated.
-        return cut_strips(joined, window)
+        return cut_strips(held.join(own, "row").select("row.*", "text", "runs", *(["carry"] if carry else [])), window)
 
-    stored_wanted = stored(wanted, "wanted")
-    ranges = settled.unionByName(refine_in_tasks(strips("small").repartition("bucket"), window))
+    ranges = settled.unionByName(refine_in_tasks(strips(False).repartition("bucket"), window))
     if not sizes.filter(F.col("runs_in") > hot).isEmpty():
-        ranges = ranges.unionByName(refine_by_count(stored(strips("hot"), "strips"), window))
+        ranges = ranges.unionByName(refine_by_count(strips(True), window))
     # Copies of a row settle the same ranges; a set holds them once.
-    ranges = ranges.groupBy(*owner).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    ranges = ranges.groupBy(F.struct(*owner).alias("row")).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names_out = [*carry, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * keep_text
@@ -377,9 +378,8 @@ def remove_repeats(
                     part.columns[2:] + [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names_out
                 )
 
-    # The same shuffle of the texts serves the strips and this join.
-    joined = rows.join(ranges, nullsafe(rows, ranges), "left")
-    joined = joined.select("text", "ranges", *[F.col(f"carry.`{c}`") for c in carry], rows["doc_id"])
+    joined = held.join(ranges, "row", "left")
+    joined = joined.select("text", "ranges", *[F.col(f"carry.`{c}`") for c in carry], F.col("row.doc_id").alias("doc_id"))
     schema = T.StructType([docs.schema[c] for c in carry])
     for name in ("doc_id", "n_bytes", "n_removed", "n_spans"):
         schema.add(name, "long")
