@@ -346,7 +346,8 @@ def remove_repeats(
 
     ranges = settled.unionByName(refine_in_tasks(strips(False).repartition("bucket"), window))
     if not sizes.filter(F.col("runs_in") > hot).isEmpty():
-        ranges = ranges.unionByName(refine_by_count(strips(True), window))
+        # Dealt out anew, so that strips are cut once for both uses, and not in the same tasks as their windows.
+        ranges = ranges.unionByName(refine_by_count(strips(True).repartition("mark", "lo"), window))
     # Copies of a row settle the same ranges; a set holds them once.
     ranges = ranges.groupBy(F.struct(*owner).alias("row")).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
