@@ -407,6 +407,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 name, score, bits, out = m.predict([t or "" for t in part.column("text").to_pylist()])
                 found = [pa.array(name, pa.string()), pa.array(score), pa.array(bits), pa.array(out)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *added])
+            # Workers live on for later stages; what Arrow holds for reuse would add to theirs.
+            pa.default_memory_pool().release_unused()
 
     schema = T.StructType(list(docs.schema.fields))
     for name, kind in zip(added, (T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType()), strict=True):
