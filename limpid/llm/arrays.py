@@ -31,8 +31,14 @@ def byte_codes(seed: int, fold: bool) -> np.ndarray:
     return codes
 
 
-@cache
+_known_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a seed's base and of its inverse, 2^bits at least: one table a seed, the longest asked for."""
+    known = _known_powers.get(seed)
+    if known is not None and known[0].size >= 1 << bits:
+        return known
     base = int(mix(np.array([seed + 77], U64))[0]) | 5
     n = 1 << bits
     both = []
@@ -46,7 +52,8 @@ def _powers(seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
             step *= 2
         p.flags.writeable = False
         both.append(p)
-    return both[0], both[1]
+    _known_powers[seed] = both[0], both[1]
+    return _known_powers[seed]
 
 
 class Rolling:
@@ -76,7 +83,7 @@ class Slice(NamedTuple):
     offsets: np.ndarray
 
 
-def text_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[Slice]:
+def text_slices(column: pa.Array, most: int = 1 << 18) -> Iterator[Slice]:
     """The texts of a column as byte arrays of about `most` bytes; a longer text is a slice of its own. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -1,9 +1,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from limpid.llm import arrays
 from limpid.llm.components import components
 from limpid.llm.near_dedup import confirmed, near_duplicates, rare_pairs
 
@@ -84,3 +86,15 @@ def test_rare_pairs_of_copies_and_of_ids_with_several_texts(spark):
         assert {tuple(r) for r in confirmed(pairs, texts).collect()} == {(1, 2)}
     texts = spark.createDataFrame([(1, near)] * 8 + [(2, " ".join(words))] * 3, "id long, text string")
     assert confirmed(rare_pairs(mixed, texts), texts).count() == 1
+
+
+def test_slices_and_tables_of_powers_stay_small():
+    """A worker keeps one table of powers a seed, the longest it needed, and looks at about 256 KB of text at once."""
+    column = pa.array(["a b c d e f " * 2000] * 100)  # 2.4 MB
+    assert max(s.data.size for s in arrays.text_slices(column)) <= 1 << 18
+    arrays._known_powers.clear()
+    sets = [x for s in arrays.text_slices(column) for x in arrays.shingles(arrays.words_of(s, arrays.not_space()))]
+    long = pa.array([" ".join(column.to_pylist()[:20])])  # a text of its own, 480 KB
+    one = arrays.shingles(arrays.words_of(next(arrays.text_slices(long)), arrays.not_space()))[0]
+    assert all(set(x) == set(sets[0]) for x in sets) and set(sets[0]) == set(one)
+    assert list(arrays._known_powers) == [0] and arrays._known_powers[0][0].size <= 1 << 19
