@@ -58,6 +58,9 @@ LINE_EXPRESSION = """case when ln%223=0 then anu||','||etu||','||elp
 
 HELPERS = ("line_no", "batch")
 
+# Records take about 11 bytes in a file and over 150 in the sorts and counts of a later task.
+ROWS_PER_FILE = 250_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -78,7 +81,7 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """The derived table ``name`` as every job after the one that wrote it sees it."""
-    path = written(spark, sf_dir, name, lambda p: write_parquet(derive(spark, sf_dir), p))
+    path = written(spark, sf_dir, name, lambda p: write_parquet(derive(spark, sf_dir), p, rows_per_file=ROWS_PER_FILE))
     return spark.read.parquet(path)
 
 

@@ -9,23 +9,27 @@ from limpid.functions.names import named
 from limpid.sources.shared import exists
 
 
-def write_parquet(df: DataFrame, path: str, legacy: bool = False, codec: str = "snappy") -> int:
+def write_parquet(df: DataFrame, path: str, legacy: bool = False, codec: str = "snappy", rows_per_file: int = 0) -> int:
     """Replace ``path`` with the rows of ``df``; returns how many there were.
 
+    ``rows_per_file`` (0: no bound) keeps files short. Spark deals a table to the tasks of a later read by bytes, each file
+    counted with the cost of opening it: well compressed rows in large files make few tasks with very many rows.
+
     ``legacy`` writes the older Parquet layout some readers need. Spark knows that layout only as a setting of the
     session, which changes for the time of such a write; other writes leave the session alone.
     """
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = counted.write.mode("overwrite").option("compression", codec).option("maxRecordsPerFile", rows_per_file)
     if not legacy:
-        counted.write.mode("overwrite").option("compression", codec).parquet(path)
+        out.parquet(path)
         return seen.get["rows"]
     setting = "spark.sql.parquet.writeLegacyFormat"
     spark = df.sparkSession
     before = spark.conf.get(setting)
     spark.conf.set(setting, "true")
     try:
-        counted.write.mode("overwrite").option("compression", codec).parquet(path)
+        out.parquet(path)
     finally:
         spark.conf.set(setting, before)
     return seen.get["rows"]

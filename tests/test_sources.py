@@ -8,6 +8,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from limpid.rules import DASHBOARD_ORDER
 from limpid.sources import read, shared, write
 
@@ -169,3 +171,13 @@ print(stored_table(spark.range(3), "x").inputFiles()[0])
             break
         time.sleep(0.25)
     assert not list(tmp_path.glob("limpid-*"))
+
+
+def test_stored_tables_are_short_files(spark, tmp_path, monkeypatch):
+    """A later task reads some files: rows in it are bounded by rows in a file, however well they compress."""
+    from limpid.catalog import frames
+
+    monkeypatch.setattr(frames, "ROWS_PER_FILE", 100)
+    rows = frames._stored(spark, str(tmp_path), "short", lambda s, d: s.range(0, 1050, 1, 2).withColumn("x", F.lit("x")))
+    per_file = [r["n"] for r in rows.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()]
+    assert max(per_file) == 100 and sorted(r["id"] for r in rows.collect()) == list(range(1050))
