@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from itertools import accumulate
 from struct import pack
@@ -99,6 +100,9 @@ class Codec:
             known[p] = pack(f"<{len(ids := self.merge(p.encode()))}I", *ids)
         return b"".join([known[p] for p in pieces])
 
+    def forget(self) -> None:
+        self._known = {}
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The raw bytes of the ids, one after another."""
         length = self._length[ids]
@@ -116,6 +120,16 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
+@contextmanager
+def task_codec(path: str, pattern: str) -> Iterator[Codec]:
+    """The codec for one task. Workers live on for other stages, so the pieces it got to know go with the task."""
+    c = codec(path, pattern)
+    try:
+        yield c
+    finally:
+        c.forget()
+
+
 def stitch(ends: list[list[int]], starts: list[int], texts: list[str], split) -> list[str]:
     """Pre-tokens of the whole text from those of its overlapping chunks.
 
@@ -171,20 +185,20 @@ def encode_documents(
     is_long = F.length("text") > chunk
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        for batch in batches:
-            texts = batch.column("text")
-            for at in range(0, max(len(texts), 1), 1024):
-                found, ids = [], []
-                for t in texts.slice(at, 1024).to_pylist():
-                    pieces = c.split(t)
-                    found.append(_row(c, pieces))
-                    if keep_ids:
-                        ids.append(c.encode(pieces))
-                n, a, b = zip(*found, strict=True) if found else ((), (), ())
-                columns = [batch.column("doc_id").slice(at, 1024), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names + ["ids"] * keep_ids)
+        with task_codec(path, pattern) as c:
+            for batch in batches:
+                texts = batch.column("text")
+                for at in range(0, max(len(texts), 1), 1024):
+                    found, ids = [], []
+                    for t in texts.slice(at, 1024).to_pylist():
+                        pieces = c.split(t)
+                        found.append(_row(c, pieces))
+                        if keep_ids:
+                            ids.append(c.encode(pieces))
+                    n, a, b = zip(*found, strict=True) if found else ((), (), ())
+                    columns = [batch.column("doc_id").slice(at, 1024), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+                    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                    yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names + ["ids"] * keep_ids)
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ids_type
     whole = rows.filter(~is_long).mapInArrow(short, "doc_id long, " + schema)

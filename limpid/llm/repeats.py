@@ -37,7 +37,8 @@ GRAM = 50
 HOT = 20_000
 #: A run that many rows share is dealt over so many groups.
 SALTS = 256
-_PIECE = 1 << 20
+#: Bytes hashed at once: a worker's arrays take some hundred times as much, beside those of the executor's other workers.
+_PIECE = 1 << 18
 
 
 def _pieces(column: pa.Array, window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

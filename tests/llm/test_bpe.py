@@ -6,6 +6,7 @@ import time
 from struct import pack
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -109,3 +110,15 @@ def test_merges_of_long_pieces(library):
     for n in (65, 200, 1000):
         piece = "".join(rng.choice("aeinrst") for _ in range(n))
         assert c.merge(piece.encode()) == library.encode_ordinary(piece)
+
+
+def test_workers_keep_no_pieces(spark):
+    """Python workers live on for other stages; pieces of a task's texts don't."""
+    texts = spark.range(64, numPartitions=8).selectExpr("id AS doc_id", "concat('word ', id, ' and ', id * id) AS text")
+    assert encode_documents(texts, PATH, PATTERN).count() == 64
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(codec(PATH, PATTERN)._known)]})
+
+    assert {r.n for r in spark.range(64, numPartitions=8).mapInArrow(held, "n long").collect()} == {0}

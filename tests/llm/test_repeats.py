@@ -1,11 +1,14 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from limpid.llm.repeats import remove_repeats
+from limpid.llm.repeats import _pieces, remove_repeats, runs
 
 DATA = "/root/testdata/sf0.001/documents.parquet"
 
@@ -129,3 +132,15 @@ def test_runs_are_judged_in_any_batches(batch, hot):
     useless = {b for b in {p[0] for p in pairs} if b not in heavy and 1 not in [n for p, n in counts.items() if p[0] == b]}
     clean = lambda c: {k: n for k, n in c.items() if not (k[0] in useless and k[2] == HOT_OPEN)}
     assert clean(got) == clean(expected)
+
+
+def test_arrays_of_a_worker_are_small():
+    """What a task holds while it looks for runs doesn't grow with its batch."""
+    letters = np.random.default_rng(4).integers(97, 123, (400, 20_000), np.uint8)
+    column = pa.array([bytes(x).decode() for x in letters])
+    tracemalloc.start()
+    for _, _, data, offsets in _pieces(column, 200):
+        runs(data, offsets, 200, 50)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 48 << 20, most
