@@ -6,6 +6,9 @@ the next one's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +21,31 @@ from limpid.llm.repeats import remove_repeats
 from limpid.llm.rows import row_key
 from limpid.llm.storage import stored
 
+#: Bytes of an Arrow batch. The JVM and the worker of every task hold one; by rows alone it grows with the length of the texts.
+BATCH_BYTES = 1 << 22
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage whose session bounds Arrow batches by bytes too, unless it has a bound of its own. Rows are the same."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(_BATCH, None) is None:
+            spark.conf.set(_BATCH, str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
+@bounded
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is rejected: no letter at all, or far from every learned language."""
     model = train(learned_from(docs).select("doc_id", "text", "lang"))
     return identify(docs, model).filter("NOT rejected").select(*docs.columns)
 
 
+@bounded
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates the row with the least doc_id; rows without doc_id stay.
 
@@ -43,6 +64,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return chosen.unionByName(docs.filter("doc_id IS NULL"))
 
 
+@bounded
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of the texts; a document that is nothing but repeats goes."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
@@ -53,12 +75,14 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.select(*[new.get(c, F.col(f"_others.`{c}`")).alias(c) for c in docs.columns])
 
 
+@bounded
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the rows that hold a benchmark item, not others of the same doc_id or without one."""
     flagged = leaks(docs, table(spark, sf_dir, "benchmark"), short=True).select(F.col("row").alias("_leak")).distinct()
     return docs.withColumn("_row", row_key()).join(flagged, F.col("_row") == F.col("_leak"), "left_anti").drop("_row")
 
 
+@bounded
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the decoded bytes, and the ids."""
     return encode_documents(docs, *rank_file(), keep_ids=True)

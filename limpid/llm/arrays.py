@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 from typing import NamedTuple
 
 import numpy as np
@@ -14,6 +15,41 @@ U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's malloc_trim, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def give_back() -> None:
+    """Returns to the system what Arrow and the C library hold for reuse."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _trim()) is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that gives memory back after each batch it took and at its end: workers live on, beside those of later stages."""
+
+    def given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            give_back()
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(given(batches))
+        finally:
+            give_back()
+
+    return task
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit numbers (splitmix64): every output bit depends on every input bit."""
     h = (h ^ (h >> U64(30))) * U64(0xBF58476D1CE4E5B9)

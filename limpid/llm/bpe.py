@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from limpid.llm.arrays import lean
+
 CHUNK = 1 << 15
 OVERLAP = 1 << 11
 KEEP = 1 << 19
@@ -201,7 +203,7 @@ def encode_documents(
                     yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names + ["ids"] * keep_ids)
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ids_type
-    whole = rows.filter(~is_long).mapInArrow(short, "doc_id long, " + schema)
+    whole = rows.filter(~is_long).mapInArrow(lean(short), "doc_id long, " + schema)
 
     def boundaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -234,9 +236,9 @@ def encode_documents(
 
     parts = (
         keyed.select("key", "text")
-        .mapInArrow(overlapping, "key string, place int, part string")
+        .mapInArrow(lean(overlapping), "key string, place int, part string")
         .dropDuplicates(["key", "place"])
         .repartition("key", "place")
     )
-    stitched = parts.mapInArrow(boundaries, "key string, place int, part string, ends array<int>").groupBy("key").applyInPandas(join_chunks, "key string, " + schema)
+    stitched = parts.mapInArrow(lean(boundaries), "key string, place int, part string, ends array<int>").groupBy("key").applyInPandas(join_chunks, "key string, " + schema)
     return whole.unionByName(keyed.select("doc_id", "key").join(stitched, "key").drop("key"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.arrays import U64, alphanumeric, grams, owner, text_slices, words_and_characters
+from limpid.llm.arrays import U64, alphanumeric, grams, lean, owner, text_slices, words_and_characters
 from limpid.llm.rows import row_key
 from limpid.llm.storage import stored
 
@@ -113,7 +113,7 @@ def _words(rows: DataFrame, keys: dict[str, str], seed: int, lengths: Iterable[i
                     [*keys, "words", "seeds"],
                 )
 
-    return rows.mapInArrow(run, "".join(f"{c} {t}, " for c, t in keys.items()) + "words array<long>, seeds array<long>")
+    return rows.mapInArrow(lean(run), "".join(f"{c} {t}, " for c, t in keys.items()) + "words array<long>, seeds array<long>")
 
 
 def _groups(sorted_numbers: np.ndarray) -> list[tuple[int, int]]:
@@ -151,7 +151,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: flo
         pairs.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
         .join(found.select("row", "doc_id", "words").dropDuplicates(["row"]), "row")
         .select(*names, "words", "item_words")
-        .mapInArrow(run, "doc_id long, row binary, item long, item_id long, coverage double")
+        .mapInArrow(lean(run), "doc_id long, row binary, item long, item_id long, coverage double")
     )
     return tiled.filter(F.col("coverage") >= coverage)
 

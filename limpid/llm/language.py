@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from limpid.llm.arrays import U64, mix
+from limpid.llm.arrays import U64, lean, mix
 
 ORDER = 4
 #: At most about so many labelled texts of each language are learned from, chosen by a hash of doc_id.
@@ -292,7 +292,7 @@ def learn(labelled: DataFrame, max_strings: int) -> Model | None:
                     keys, c = np.unique(strings(part, skip)[0], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * keys.size, pa.string()), pa.array(keys.view(np.int64)), pa.array(c)], ["lang", "key", "c"])
 
-    counts = labelled.mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
+    counts = labelled.mapInArrow(lean(run), "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
     counts = counts.persist()
     try:
         if counts.count() > max_strings:
@@ -384,7 +384,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_strings: in
             out = [names[ok].tolist(), b[np.arange(own.size), own], np.sort(b - b[np.arange(own.size), own][:, None], axis=1)[:, :2].sum(axis=1)]
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1]), pa.array(out[2])], ["lang", "bits", "margin"])
 
-    stats = rest.select("lang", "text").mapInArrow(measure, "lang string, bits double, margin double")
+    stats = rest.select("lang", "text").mapInArrow(lean(measure), "lang string, bits double, margin double")
     for row in stats.groupBy("lang").agg(F.avg("bits").alias("mean"), F.coalesce(F.stddev("bits"), F.lit(0.0)).alias("sd")).collect():
         model.limit[model.names.index(row["lang"])] = row["mean"] + max(DEVIATIONS * row["sd"], row["mean"])
     shared.unpersist()
@@ -407,10 +407,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 name, score, bits, out = m.predict([t or "" for t in part.column("text").to_pylist()])
                 found = [pa.array(name, pa.string()), pa.array(score), pa.array(bits), pa.array(out)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *added])
-            # Workers live on for later stages; what Arrow holds for reuse would add to theirs.
-            pa.default_memory_pool().release_unused()
 
     schema = T.StructType(list(docs.schema.fields))
     for name, kind in zip(added, (T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType()), strict=True):
         schema.add(name, kind)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from limpid.llm.arrays import GOLDEN, U64, long_array, mix, not_space, shingles, text_slices, words_of
+from limpid.llm.arrays import GOLDEN, U64, lean, long_array, mix, not_space, shingles, text_slices, words_of
 from limpid.llm.components import components
 from limpid.llm.storage import stored
 
@@ -71,11 +71,6 @@ def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
         yield from shingles(words_of(s, not_space()), width)
 
 
-def _give_back() -> None:
-    """Workers live on for later stages; what Arrow holds for reuse would add to theirs."""
-    pa.default_memory_pool().release_unused()
-
-
 def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, key1, key2 (of the whole set, 128 bits), bands (null if the set is empty) and the columns in carry."""
 
@@ -93,11 +88,10 @@ def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: i
                     [part.column("doc_id"), pa.array(n, pa.int64()), long_array(keys[:, 0]), long_array(keys[:, 1]), pa.array(found, pa.list_(pa.int64())), *(part.column(c) for c in carry)],
                     ["doc_id", "n_shingles", "key1", "key2", "bands", *carry],
                 )
-            _give_back()
 
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return rows_in.mapInArrow(run, f"doc_id long, n_shingles long, key1 long, key2 long, bands array<long>{kinds}")
+    return rows_in.mapInArrow(lean(run), f"doc_id long, n_shingles long, key1 long, key2 long, bands array<long>{kinds}")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -112,14 +106,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
                     both = np.intersect1d(x, y, assume_unique=True).size
                     ok.append(100 * both >= percent * (x.size + y.size - both) and both > 0)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-            _give_back()
 
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     own = texts.join(wanted, "id", "left_semi").withColumn("mark", F.unhex(F.md5("text"))).dropDuplicates(["id", "mark"])
     joined = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(lean(run), "a long, b long")
 
 
 def rare_pairs(mixed: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -140,10 +133,9 @@ def rare_pairs(mixed: DataFrame, texts: DataFrame, percent: int = PERCENT, width
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), long_array(keys[:, 0]), long_array(keys[:, 1]), pa.array(sets, pa.list_(pa.int64()))], ["id", "key1", "key2", "found"]
                 )
-            _give_back()
 
     own = ["id", "key1", "key2"]
-    sets = texts.join(mixed.select("id"), "id", "left_semi").mapInArrow(run, "id long, key1 long, key2 long, found array<long>").dropDuplicates(own)
+    sets = texts.join(mixed.select("id"), "id", "left_semi").mapInArrow(lean(run), "id long, key1 long, key2 long, found array<long>").dropDuplicates(own)
     each = sets.select(*own, F.size("found").alias("n"), F.explode("found").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1")
     each = each.join(often, "shingle", "left")

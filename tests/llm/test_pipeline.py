@@ -1,9 +1,12 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from limpid.llm import arrays
 from limpid.llm.queries import table
 
 DATA = "/root/testdata/sf0.001"
@@ -67,3 +70,41 @@ def test_texts_of_one_doc_id_all_stay_unless_they_repeat(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r.doc_id, r.text.lower()) for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()), key=str)
     assert got == sorted([(None, a), (None, a), (3, b), (3, c), (5, a)], key=str)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Long texts: 400 rows of 100 KB came as one batch of 40 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    corpus_pipeline.token_ids(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), DATA)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "rows"])
+
+    rows = spark.range(0, 400, 1, 1).selectExpr("id", "repeat('x', 100000) AS text").mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r["rows"] for r in rows) == 400 and max(r["bytes"] for r in rows) < 2 * corpus_pipeline.BATCH_BYTES
+    try:
+        spark.conf.set(key, "1000")  # a session's own bound stays
+        corpus_pipeline.token_ids(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), DATA)
+        assert spark.conf.get(key).rstrip("b") == "1000"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    """After each batch and at the end, also if the task stops early; batches and rows are the same."""
+    calls = []
+    monkeypatch.setattr(arrays, "give_back", lambda: calls.append(1))
+    batches = [pa.RecordBatch.from_arrays([pa.array([k])], ["x"]) for k in range(3)]
+    task = arrays.lean(lambda found: (b for b in found))
+    assert [b.column("x")[0].as_py() for b in task(iter(batches))] == [0, 1, 2] and len(calls) == 4
+    early = task(iter(batches))
+    next(early)
+    early.close()
+    assert len(calls) == 5
+    arrays_of = [np.ones(12_000) for _ in range(4000)]  # below the size of a mapping of its own
+    last, arrays_of = arrays_of[-1], None
+    monkeypatch.undo()
+    arrays.give_back()
+    assert last.sum() == 12_000
